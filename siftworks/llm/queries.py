@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import simhash
+from . import pii, simhash
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +16,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long")
+    n = {f"n_{k}": count(k) for k in ("email", "ip", "card", "phone")}
+    base = F.filter("spans", lambda x: x["kind"].isin("email", "ip", "card", "phone"))
+    return out.select("doc_id", *(c.alias(k) for k, c in n.items()), F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash}
+    return {"op2_simhash": op2_simhash, "op3_pii": op3_pii}
 
 
 def oracle_sql() -> dict[str, str]:
