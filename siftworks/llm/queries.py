@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import pii, simhash
+from . import packing, pii, simhash
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,8 +24,14 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *(c.alias(k) for k, c in n.items()), F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash, "op3_pii": op3_pii}
+    return {"op2_simhash": op2_simhash, "op3_pii": op3_pii, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
