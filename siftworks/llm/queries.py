@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import packing, pii, simhash
+from . import packing, pii, quality, simhash
+from .staging import stage
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,13 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *(c.alias(k) for k, c in n.items()), F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats = stage(quality.features(table(spark, sf_dir, "documents")), "features")
+    model = quality.fit(feats.where(~quality.held_out()), table(spark, sf_dir, "labels"))
+    out = quality.score(feats, model)
+    return out.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -31,7 +39,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash, "op3_pii": op3_pii, "op10_packing": op10_packing}
+    return {"op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
