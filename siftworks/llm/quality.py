@@ -87,7 +87,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(gap, -700, 700)))
 
 
-def fit(feats: DataFrame, labels: DataFrame, to_pooled: float = 0.1, to_diagonal: float = 0.02) -> Model:
+def fit(feats: DataFrame, labels: DataFrame, to_pooled: float = 0.3, to_diagonal: float = 0.2) -> Model:
     """Learns from all rows of ``feats`` (doc_id, x) that ``labels`` (doc_id, quality) marks.
 
     Counts, sums and products by class are summed in parts, so the driver receives a fixed
