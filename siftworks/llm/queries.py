@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import packing, pii, quality, simhash
+from . import packing, pii, quality, simhash, substring
 from .staging import stage
 
 
@@ -32,6 +32,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -39,7 +44,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op10_packing": op10_packing}
+    return {"op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op6_substring": op6_substring, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
