@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import packing, pii, quality, simhash, substring
+from . import packing, pii, quality, simhash, substring, urls
 from .staging import stage
 
 
@@ -37,6 +37,11 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return out.select("page_id", "host", "path", "rule", "verdict", F.round("score", 9).alias("score"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -44,8 +49,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op6_substring": op6_substring, "op10_packing": op10_packing}
+    return {"op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op6_substring": op6_substring, "op7_urls": op7_urls, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_urls": urls.oracle_sql()}
