@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import packing, pii, quality, simhash, substring, urls
+from . import ann, packing, pii, quality, simhash, substring, urls
 from .staging import stage
 
 
@@ -42,6 +42,10 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict", F.round("score", 9).alias("score"))
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -49,7 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op6_substring": op6_substring, "op7_urls": op7_urls, "op10_packing": op10_packing}
+    return {"op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op6_substring": op6_substring, "op7_urls": op7_urls, "op8_ann": op8_ann, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
