@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import ann, packing, pii, quality, simhash, substring, urls
+from . import ann, cover_tree, packing, pii, quality, simhash, substring, urls
 from .staging import stage
 
 
+def op1_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.simhash_groups(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -53,7 +58,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op6_substring": op6_substring, "op7_urls": op7_urls, "op8_ann": op8_ann, "op10_packing": op10_packing}
+    return {"op1_cover_tree": op1_cover_tree, "op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op6_substring": op6_substring, "op7_urls": op7_urls, "op8_ann": op8_ann, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(vec_id, v): rows whose vector is neither null nor zero and has finite components only; repeated rows once."""
+def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", kind: str = "array<double>") -> DataFrame:
+    """(vec_id, v): rows whose vector is neither null nor zero and has finite components only."""
     v = F.col(vector_col)
     finite = F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     some = F.exists(v, lambda x: x != 0)
     good = F.when(v.isNotNull() & (F.size(v) > 0), finite & some).otherwise(False)
-    return vectors.where(good & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), v.cast("array<double>").alias("v"))
+    return vectors.where(good & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), v.cast(kind).alias("v"))
 
 
 def matrix(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
