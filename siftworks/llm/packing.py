@@ -90,12 +90,12 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of about SLICE bytes of text."""
+def _slices(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of about ``most`` bytes of text."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE, "right")))
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))
         yield batch.slice(at, to - at)
         at = to
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import ann, cover_tree, packing, pii, quality, simhash, substring, urls
+from . import ann, cover_tree, packing, pieces, pii, quality, simhash, substring, urls
 from .staging import stage
 
 
@@ -51,6 +51,13 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = pieces.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_ids", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"), "round_trip")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -58,7 +65,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_cover_tree": op1_cover_tree, "op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op6_substring": op6_substring, "op7_urls": op7_urls, "op8_ann": op8_ann, "op10_packing": op10_packing}
+    return {"op1_cover_tree": op1_cover_tree, "op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op6_substring": op6_substring, "op7_urls": op7_urls, "op8_ann": op8_ann, "op9_sentencepiece": op9_sentencepiece, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
