@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import ann, cover_tree, packing, pieces, pii, quality, simhash, substring, urls
+from . import ann, cover_tree, lm, packing, pieces, pii, quality, simhash, substring, urls
 from .staging import stage
 
 
@@ -37,6 +37,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -65,7 +69,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_cover_tree": op1_cover_tree, "op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op6_substring": op6_substring, "op7_urls": op7_urls, "op8_ann": op8_ann, "op9_sentencepiece": op9_sentencepiece, "op10_packing": op10_packing}
+    return {"op1_cover_tree": op1_cover_tree, "op2_simhash": op2_simhash, "op3_pii": op3_pii, "op4_quality": op4_quality, "op5_lm": op5_lm, "op6_substring": op6_substring, "op7_urls": op7_urls, "op8_ann": op8_ann, "op9_sentencepiece": op9_sentencepiece, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
