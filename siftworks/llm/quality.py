@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NAMES = ("log_words", "mean_word", "sd_word", "distinct_words", "repeated_next", "upper", "digit", "symbol", "beyond_ascii", "entropy", "sentence_ends", "symbol_ends", "distinct_lines", "words_per_line", "top_word")
 
@@ -149,4 +150,4 @@ def with_score(docs: DataFrame, model: Model) -> DataFrame:
             x = np.array([statistics(t) for t in b.column(names.index("text")).to_pylist()]).reshape(-1, len(NAMES))
             yield pa.RecordBatch.from_arrays(b.columns + [pa.array(model.scores(x))], [*names, "score"])
 
-    return docs.mapInArrow(run, docs.schema.add("score", "double"))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))

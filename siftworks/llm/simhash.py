@@ -114,3 +114,86 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, hot: int
     found = components(links(codes, radius, hot))
     of_code = codes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return fps.join(of_code, "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def _words(text: str | None) -> tuple[int, bytes]:
+    """SimHash over a text's distinct words, and a hash of its lower-cased words in order."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    digest = xxhash.xxh64_intdigest
+    own = list(dict.fromkeys(words))
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(own), CHUNK):
+        h = np.fromiter((digest(w, 42) for w in own[at : at + CHUNK]), np.uint64)
+        ones += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return _signed(int.from_bytes(np.packbits(2 * ones > len(own)).tobytes(), "big")), xxhash.xxh3_128_digest(b" ".join(words))
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Sorted hashes of a text's distinct shingles of lower-cased words; of all its words, if fewer."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.int64)
+    n = max(1, len(words) - shingle + 1)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle])) for i in range(n)), np.uint64, n)).view(np.int64)
+
+
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 6, rounds: tuple[int, ...] = (8, 24, 32, 63)) -> DataFrame:
+    """(doc_id, component_id): groups of documents whose shingle sets have a Jaccard index of at least ``similarity``.
+
+    64 bits over word shingles cannot be searched at the distance that a Jaccard index of 0.8
+    implies (about 12 bits: 8191 covering masks). SimHash over distinct words moves far less,
+    about 4 bits, so candidates are taken within ``radius`` bits of it under all its covering
+    masks, and the exact Jaccard index decides. Masks are used in ``rounds``; in each bucket
+    candidates are linked to the smallest doc_id, and a document that has found its nearest
+    such link leaves the later rounds. So a group of near copies of any size costs its size
+    times the first round's masks, and no pairs are written out; but links are found to a
+    group's first document or to one on the way to it, not between all members.
+
+    Texts of the same words are one code. Null and wordless texts are copies of each other.
+    Rows without a doc_id have a null component_id.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [_words(t) for t in b.column(1).to_pylist()]
+            k = np.frombuffer(b"".join(g[1] for g in got), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy())], ["doc_id", "fp", "ka", "kb"])
+
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    seen = stage(kept.mapInArrow(scan, "doc_id long, fp long, ka long, kb long"), "fingerprints")
+    codes = stage(seen.where("doc_id is not null").groupBy("ka", "kb", "fp").agg(F.min("doc_id").alias("rep")), "codes")
+    masks, active, found = covering_masks(radius), codes.select("rep", "fp"), None
+    rounds = (*rounds, len(masks) - sum(rounds)) if sum(rounds) < len(masks) else rounds
+    at = 0
+    for n in rounds:
+        table = F.explode(F.array(*(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(masks[t]))).alias("key")) for t in range(at, min(at + n, len(masks))))))
+        at += n
+        keyed = active.select("rep", "fp", table.alias("k")).select("rep", "fp", "k.t", "k.key")
+        first = keyed.groupBy("t", "key").agg(F.min(F.struct("rep", "fp")).alias("m"), F.count("*").alias("n")).where("n > 1").select("t", "key", "m")
+        gap = F.bit_count(F.col("fp").bitwiseXOR(F.col("m.fp")))
+        near = keyed.join(first, ["t", "key"]).where((F.col("rep") > F.col("m.rep")) & (gap <= radius))
+        near = stage(near.groupBy("rep").agg(F.min(F.struct(gap.alias("gap"), F.col("m.rep").alias("to"))).alias("x")).select("rep", F.col("x.to").alias("to")), "near")
+        found = near if found is None else found.union(near)
+        active = stage(active.join(near, "rep", "left_anti"), "active")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, shingle) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "s"])
+
+    ids = found.select(F.explode(F.array("rep", "to")).alias("doc_id")).distinct()
+    of = stage(kept.join(ids, "doc_id").select("doc_id", "text").mapInArrow(sets, "id long, s array<long>").dropDuplicates(["id"]), "sets")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for x, y in zip(b.column(2), b.column(3)):
+                x, y = x.values.to_numpy(), y.values.to_numpy()
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(both >= similarity * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    pairs = found.join(of.select(F.col("id").alias("rep"), F.col("s").alias("x")), "rep").join(of.select(F.col("id").alias("to"), F.col("s").alias("y")), "to")
+    links = pairs.select("rep", "to", "x", "y").mapInArrow(verify, "a long, b long")
+    groups = components(links).withColumnRenamed("node", "rep")
+    of_code = codes.join(groups, "rep", "left").select("ka", "kb", "fp", F.coalesce("component", "rep").alias("component_id"))
+    return seen.join(of_code, ["ka", "kb", "fp"], "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
