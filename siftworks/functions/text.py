@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Characters that a slug keeps: letters and digits of any script, underscore and hyphen.
 SLUG_DROPS = r"[^\p{L}\p{N}_\-]+"
@@ -86,7 +87,7 @@ def unescape_core(c: Column) -> Column:
     return c
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_all(s: pd.Series) -> pd.Series:
     """All named and numeric entities: the table has thousands, so this is not an expression."""
     return s.map(html.unescape, na_action="ignore")

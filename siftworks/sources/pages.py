@@ -16,7 +16,6 @@ from ..operators.filters import still_image
 
 SCHEMA = "query string, page int, position int, entry string"
 ENTRY = "hoverURL string, objURL string, thumbURL string, middleURL string, replaceUrl array<struct<ObjURL:string,FromURL:string>>"
-SIMILAR = "objUrl string, objURL string, thumbUrl string, thumbURL string, middleUrl string, isVideo boolean, typeInfo struct<type:string>"
 
 
 def backoff(attempt: int, base: float = 0.8, factor: float = 2.0, jitter: float = 0.2, low: float = 0.1, high: float = 10.0, rand: Callable[[float, float], float] = random.uniform) -> float:
@@ -104,8 +103,8 @@ def keyword_urls(entries: DataFrame) -> DataFrame:
 
 def similar_urls(entries: DataFrame) -> DataFrame:
     """(query, page, position, url): the first non-empty URL of each still image, if valid."""
-    e = F.from_json("entry", SIMILAR)
-    middle = entry_image(e["objUrl"], e["thumbUrl"], e["middleUrl"])
-    url = first_truthy_url([middle, e["objURL"], F.lit(None).cast("string"), e["thumbURL"]])
-    still = entries.where(still_image(e["typeInfo"]["type"], e["isVideo"]))
+    get = lambda path, kind="string": F.try_variant_get(F.try_parse_json("entry"), f"$.{path}", kind)  # noqa: E731  (names that differ by case only)
+    middle = entry_image(get("objUrl"), get("thumbUrl"), get("middleUrl"))
+    url = first_truthy_url([middle, get("objURL"), get("thumbURL")])
+    still = entries.where(still_image(get("typeInfo.type"), get("isVideo", "boolean")))
     return still.select("query", "page", "position", url.alias("url")).where("url is not null")
