@@ -23,13 +23,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .staging import stage
 
 WINDOW, GRAM = 50, 10
 SPAN = WINDOW - GRAM
 #: Occurrences of a prefix that one tree takes, and rows that are sorted together.
-GROUP, SORTED = 1024, 20_000
+GROUP, SORTED = 20_000, 20_000
 #: Bytes of a word's hash that the trees compare.
 WIDE = 6
 
@@ -257,5 +258,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             keep = [i for i, k in enumerate(names) if k != "_runs"]
             yield pa.RecordBatch.from_arrays([b.column(i) for i in keep] + cols, [*(names[i] for i in keep), "n_words", "n_removed", "kept_text"])
 
-    schema = docs.schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
+    more = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
+    schema = T.StructType([*docs.schema.fields, *more])
     return joined.mapInArrow(run, schema)
