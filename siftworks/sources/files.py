@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,9 +38,21 @@ def _typed(raw: Column, key: str, kind: str) -> Column:
     return F.when(fits, F.try_variant_get(raw, f"$.{key}", kind))
 
 
-def index(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def _visible(spark: SparkSession, path: str) -> str:
+    """A path that Spark lists: files whose name starts with _ or . are hidden to it, so such a file is copied to another name in the shared folder."""
+    name = path.rstrip("/").rpartition("/")[2]
+    if name[:1] not in ("_", "."):
+        return path
+    where = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siftworks-")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{where.rstrip('/')}/{uuid.uuid4().hex}{name.lstrip('_.')}"))
+    jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
+    return target.toString()
+
+
+def index(spark: SparkSession, path: str) -> DataFrame:
     """Index entries of JSON lines, with ``line_no`` within a file; blank, broken and non-object lines are dropped, fields of other types are null."""
-    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("line_no")).where(F.trim("value") != "")
+    lines = spark.read.text(_visible(spark, path)).select("value", F.monotonically_increasing_id().alias("line_no")).where(F.trim("value") != "")
     raw = lines.withColumn("raw", F.try_parse_json("value")).where(F.schema_of_variant("raw").startswith("OBJECT"))
     fields = [f.strip().split() for f in INDEX.split(",")]
     return raw.select(*(_typed(F.col("raw"), k, t).alias(k) for k, t in fields), "line_no")
