@@ -225,3 +225,17 @@ def deobfuscate(url: Column) -> Column:
     for token, char in OBFUSCATED_TOKENS:
         url = F.replace(url, F.lit(token), F.lit(char))
     return F.translate(url, OBFUSCATED_FROM, OBFUSCATED_TO)
+
+
+def upload_context(payload: Column, page_of_sign: str = "{sign}") -> Column:
+    """sign and page_url of an upload's JSON answer: the first non-empty of three names, else the page URL's own; the page is rebuilt from the sign where it is missing."""
+    raw = F.try_parse_json(payload)
+    get = lambda k: truthy(F.try_variant_get(raw, f"$.data.{k}", "string"))
+    sign = F.coalesce(get("sign"), get("querySign"), get("uqid"), truthy(query_part(get("url"), "sign")))
+    before, after = page_of_sign.split("{sign}")
+    return F.struct(sign.alias("sign"), F.coalesce(get("url"), F.concat(F.lit(before), sign, F.lit(after))).alias("page_url"))
+
+
+def log_id() -> Column:
+    """Milliseconds and six random digits; differs from run to run."""
+    return F.concat(F.unix_millis(F.current_timestamp()).cast("string"), F.format_string("%06d", F.floor(F.rand() * 1_000_000).cast("int")))

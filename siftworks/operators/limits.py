@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -58,3 +58,9 @@ def error_report(errors: DataFrame, key: str = "id", message: str = "error") ->
     """(count, errors): distinct failing ids and a message of each."""
     one = errors.groupBy(key).agg(F.min(message).alias(message))
     return one.agg(F.count("*").alias("count"), F.map_from_entries(F.collect_list(F.struct(key, message))).alias("errors"))
+
+
+def counted(df: DataFrame, **conditions: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and its counters, filled by the action that computes it: rows, and those that meet each condition."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count_if(c).alias(k) for k, c in conditions.items())), seen

@@ -49,6 +49,12 @@ def test_urls_and_pages(spark):
     assert each(spark, text.deobfuscate, ["AzdH3Fw"]) == ["/a"]
 
 
+def test_uploads(spark):
+    got = each(spark, lambda c: text.upload_context(c, "http://h/s?sign={sign}"), ['{"data":{"querySign":"q","url":"http://p"}}', '{"data":{"sign":"s"}}', '{"data":{"url":"http://p?sign=u"}}', "x"])
+    assert [(r.sign, r.page_url) for r in got] == [("q", "http://p"), ("s", "http://h/s?sign=s"), ("u", "http://p?sign=u"), (None, None)]
+    assert len(one(spark, text.log_id())) == 19
+
+
 def test_item_fields(spark):
     assert each(spark, text.page_size, ["10", "45", "99", "x", None]) == [30, 45, 60, 30, 30]
     assert one(spark, text.identifier([F.col("a"), F.col("b")], F.lit(7)), a=("string", None), b=("string", "")) == "row-00007"

@@ -108,6 +108,9 @@ def test_dedup_is_idempotent_and_bands_find_all(spark):
 def test_limits(spark):
     df = spark.createDataFrame([(i,) for i in range(10)], "i int")
     assert limits.limit_kept(df, ["i"], 0).count() == 10 and limits.limit_candidates(df, ["i"], 0).count() == 0
+    own, seen = limits.counted(df, big=F.col("i") > 6)
+    own.collect()
+    assert seen.get == {"rows": 10, "big": 3}
     with pytest.raises(ValueError):
         limits.limit_candidates(df, ["i"], -1)
     assert [(r.i, r.ordinal) for r in limits.ordinal(df, ["i"]).orderBy("i").collect()] == [(i, i) for i in range(10)]
