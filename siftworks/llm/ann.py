@@ -152,12 +152,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = 4, l
     sizes = dict(placed.select("leaf").groupBy("leaf").count().collect())
     parts = {leaf: -(-n // (4 * leaf_rows)) for leaf, n in sizes.items()}
     most = max(parts.values())
-    split = F.lit(1)
-    for leaf, n in parts.items():
-        if n > 1:
-            split = F.when(F.col("leaf") == leaf, n).otherwise(split)
-    floats = F.col("v")
-    side = placed.select("leaf", F.pmod(F.xxhash64(F.get("ids", 0)), split).cast("int").alias("part"), F.lit(None).cast("long").alias("query_id"), "ids", floats.alias("v"))
+    listed = ",".join(str(parts.get(leaf, 1)) for leaf in range(trees * forest.leaves))
+    split = F.get(F.split(F.lit(listed), ",").cast("array<int>"), F.col("leaf").cast("int"))  # folded to a constant
+    side = placed.select("leaf", F.pmod(F.xxhash64(F.get("ids", 0)), split).cast("int").alias("part"), F.lit(None).cast("long").alias("query_id"), "ids", "v")
     asked = rows.where(is_query).mapInArrow(seek, "vec_id long, v array<double>, leaves array<long>").select(F.explode("leaves").alias("leaf"), F.col("vec_id").alias("query_id"), "v")
     asked = asked.select("leaf", (F.explode(F.sequence(F.lit(0), split - 1)) if most > 1 else F.lit(0)).alias("part"), "query_id", F.lit(None).cast("array<long>").alias("ids"), "v")
 
