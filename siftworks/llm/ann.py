@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .batches import tidied
 from .staging import stage
 from .vectors import clean, matrix
 
@@ -148,14 +149,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = 4, l
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(leaf) + 1) * leaf.shape[1], pa.int32()), pa.array(leaf.ravel()))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], ["vec_id", "v", "leaves"])
 
-    placed = entries.select("ids", "v").mapInArrow(index, "leaf long, ids array<long>, v array<double>")
+    placed = entries.select("ids", "v").mapInArrow(tidied(index), "leaf long, ids array<long>, v array<double>")
     sizes = dict(placed.select("leaf").groupBy("leaf").count().collect())
     parts = {leaf: -(-n // (4 * leaf_rows)) for leaf, n in sizes.items()}
     most = max(parts.values())
     listed = ",".join(str(parts.get(leaf, 1)) for leaf in range(trees * forest.leaves))
     split = F.get(F.split(F.lit(listed), ",").cast("array<int>"), F.col("leaf").cast("int"))  # folded to a constant
     side = placed.select("leaf", F.pmod(F.xxhash64(F.get("ids", 0)), split).cast("int").alias("part"), F.lit(None).cast("long").alias("query_id"), "ids", "v")
-    asked = rows.where(is_query).mapInArrow(seek, "vec_id long, v array<double>, leaves array<long>").select(F.explode("leaves").alias("leaf"), F.col("vec_id").alias("query_id"), "v")
+    asked = rows.where(is_query).mapInArrow(tidied(seek), "vec_id long, v array<double>, leaves array<long>").select(F.explode("leaves").alias("leaf"), F.col("vec_id").alias("query_id"), "v")
     asked = asked.select("leaf", (F.explode(F.sequence(F.lit(0), split - 1)) if most > 1 else F.lit(0)).alias("part"), "query_id", F.lit(None).cast("array<long>").alias("ids"), "v")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,5 +224,5 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = 4, l
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     together = side.union(asked).repartition(n, "leaf", "part").sortWithinPartitions("leaf", "part", "query_id")
-    partial = together.mapInArrow(search, "query_id long, ids array<long>, scores array<double>")
-    return partial.repartition(n, "query_id").sortWithinPartitions("query_id").mapInArrow(finish, schema)
+    partial = together.mapInArrow(tidied(search), "query_id long, ids array<long>, scores array<double>")
+    return partial.repartition(n, "query_id").sortWithinPartitions("query_id").mapInArrow(tidied(finish), schema)

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import tidied
 from .graph import components
 from .staging import stage
 from .vectors import clean, matrix
@@ -189,7 +190,7 @@ def _pairs(entries: DataFrame, threshold: float, block_rows: int, sample_rows: i
                 yield pa.RecordBatch.from_arrays(b.columns + [pa.array(d.argmin(1)), pa.array(d.min(1))], ["id", "w", "v", "cell", "d"])
 
     element = dict(entries.dtypes)["v"]
-    placed = entries.select("id", "w", "v").mapInArrow(assign, f"id long, w long, v {element}, cell long, d double")
+    placed = entries.select("id", "w", "v").mapInArrow(tidied(assign), f"id long, w long, v {element}, cell long, d double")
     sizes = {c: (n, r) for c, n, r in placed.groupBy("cell").agg(F.count("*"), F.max("d")).collect()}
     between = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))
     # cells in the order of the nested nets' tree, so that neighbours share a block
@@ -254,5 +255,5 @@ def _pairs(entries: DataFrame, threshold: float, block_rows: int, sample_rows: i
         roots = np.array([p.root(int(i)) for i in at], np.int64)
         return pa.table({"id": ids[at], "links": links[at], "root": ids[roots] if len(at) else np.zeros(0, np.int64)})
 
-    dealt = placed.mapInArrow(deal, f"pair long, upper boolean, id long, w long, v {element}")
+    dealt = placed.mapInArrow(tidied(deal), f"pair long, upper boolean, id long, w long, v {element}")
     return dealt.groupBy("pair").applyInArrow(meet, FOUND)

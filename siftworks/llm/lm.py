@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import slices, tidied
 from .staging import stage
 
 CLASSES = PLACES = 32
@@ -180,11 +181,9 @@ def score(docs: DataFrame, test: Column | None = None) -> DataFrame:
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), test.alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def count_and_learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .packing import _slices
-
         names, weights, size = ["kind", "key", "n", "w"], Weights(), 0
         for batch in batches:
-            for b in _slices(batch):
+            for b in slices(batch):
                 t = tokens(b.column(2))
                 on = ~b.column(1).to_numpy(zero_copy_only=False)
                 size += b.column(2).nbytes
@@ -199,7 +198,7 @@ def score(docs: DataFrame, test: Column | None = None) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), np.int32)), pa.array(at), pa.array(weights.uses[at]), lists], names)
         yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([0]), pa.array([size]), pa.nulls(1, pa.list_(pa.float32()))], names)
 
-    found = stage(kept.mapInArrow(count_and_learn, "kind int, key long, n long, w array<float>"), "learned")
+    found = stage(kept.mapInArrow(tidied(count_and_learn), "kind int, key long, n long, w array<float>"), "learned")
     counts = stage(found.where("kind = 0").groupBy(F.col("key").alias("h")).agg(F.sum("n").alias("c")), "counts")
     means = [(F.sum(F.col("n") * F.get("w", i)) / F.sum("n")).cast("float") for i in range(CLASSES)]
     rows = found.where("kind = 1").groupBy("key").agg(F.array(*means).alias("w")).toPandas()
@@ -216,25 +215,21 @@ def score(docs: DataFrame, test: Column | None = None) -> DataFrame:
     blocks = max(1, -(-size // BLOCK))
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .packing import _slices
-
         for batch in batches:
             block = batch.column(3).to_numpy()
             for k in np.unique(block):
                 own = batch.filter(pa.array(block == k))
-                for b in _slices(own, BLOCK):
+                for b in slices(own, BLOCK):
                     h = tokens(b.column(2)).hashes
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k)), pa.array(h.view(np.int64))], ["block", "h"])
 
     def judge(key: tuple[pa.Scalar, ...], texts: pa.Table, known: pa.Table) -> pa.Table:
-        from .packing import _slices
-
         h = known.column("h").to_numpy().view(np.uint64)
         order = np.argsort(h)
         h, c = h[order], known.column("c").to_numpy()[order]
         out = []
         for batch in texts.combine_chunks().to_batches():
-            for b in _slices(batch):
+            for b in slices(batch):
                 t = tokens(b.column("text"))
                 at = np.minimum(np.searchsorted(h, t.hashes), max(len(h) - 1, 0))
                 n = np.where(h[at] == t.hashes, c[at], 0) if len(h) else np.zeros(len(t.hashes), np.int64)
@@ -250,7 +245,7 @@ def score(docs: DataFrame, test: Column | None = None) -> DataFrame:
         return pa.concat_tables(out)
 
     dealt = kept.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition(blocks, "block")
-    wanted = dealt.mapInArrow(asked, "block long, h long")
+    wanted = dealt.mapInArrow(tidied(asked), "block long, h long")
     given = wanted.join(counts, "h")
     scored = dealt.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(judge, SCORES)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(all_tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -15,10 +15,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import slices, tidied
 from .staging import stage
 
-#: Characters of text that are tokenized together, and word encodings that a worker keeps.
-SLICE, KEEP = 12_000_000, 300_000
+#: Word encodings that a worker keeps.
+KEEP = 150_000
 #: A space that the pattern below would not attach to what follows it.
 _LOOSE = re.compile(r" (?=\s|\Z)")
 
@@ -90,16 +91,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _slices(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of about ``most`` bytes of text."""
-    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def cuts(n: int, capacity: int) -> list[int]:
     """Piece lengths of a document of n ids: one, or full ones after a first that may be shorter."""
     return [n] if n <= capacity else [n % capacity] * (n % capacity > 0) + [capacity] * (n // capacity)
@@ -115,7 +106,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = encoder(tokenizer)
         for batch in batches:
-            for b in _slices(batch):
+            for b in slices(batch):
                 flat, counts = tok.encode(pc.fill_null(b.column("text"), ""))
                 rows, at = [], 0
                 for doc, n in zip(b.column("doc_id").to_pylist(), counts.tolist()):
@@ -128,7 +119,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0,
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return kept.mapInArrow(run, PIECE + ", ids array<int>" * with_ids)
+    return kept.mapInArrow(tidied(run), PIECE + ", ids array<int>" * with_ids)
 
 
 def plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -224,7 +215,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0, wi
     order = ["length", "doc_id", "piece"]
     fields = PIECE + ", ids array<int>" * with_ids
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = cut.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(number, fields + ", part int, place long")
+    ranked = cut.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(tidied(number), fields + ", part int, place long")
     ranked = stage(ranked, "ranked")
     first, total = {}, 0
     for part, rows in sorted(ranked.groupBy("part").count().collect()):
@@ -238,4 +229,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0, wi
                 b = b.drop_columns(["part", "place"])
                 yield pa.RecordBatch.from_arrays(b.columns + [pa.array(bases[k] + rank - lows[k]), pa.array(offsets[k])], [*b.schema.names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(assign, fields + ", sequence_id long, offset long")
+    return ranked.mapInArrow(tidied(assign), fields + ", sequence_id long, offset long")

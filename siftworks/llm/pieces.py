@@ -26,11 +26,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import slices, tidied
+
 #: Longer words go through plain merging; pairs and words that a worker remembers; words that advance together.
-LONG, PAIRS, KEEP, BATCH = 200, 3_000_000, 300_000, 50_000
-#: Characters of text encoded together.
-SLICE = 8_000_000
+LONG, PAIRS, KEEP, BATCH = 200, 3_000_000, 600_000, 50_000
 SPACE = "▁"
+#: Bytes of text that are encoded together.
+SLICE = 12_000_000
 _LOOSE = re.compile(r"\A | (?= |\Z)")
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -116,20 +118,21 @@ class Pieces:
         known = np.zeros(len(keys), bool)
         if len(self.pair_keys):
             known = self.pair_keys[np.minimum(at, len(self.pair_keys) - 1)] == keys
+        out = np.zeros(len(keys), bool)
+        out[known] = self.pair_ok[at[known]]
         if not known.all():
             name = lambda i: self.text[i] if i < self.size else chr(i - self.size)
-            new = np.unique(keys[~known])
+            new, back = np.unique(keys[~known], return_inverse=True)
             ok = np.array([self.merge(name(k // wide) + name(k % wide)) == [name(k // wide), name(k % wide)] for k in new.tolist()])
+            out[~known] = ok[back]
             if len(self.pair_keys) > PAIRS:
                 self.pair_keys, self.pair_ok = np.zeros(0, np.int64), np.zeros(0, bool)
-            both = np.concatenate([self.pair_keys, new])
-            order = np.argsort(both, kind="stable")
-            self.pair_keys, self.pair_ok = both[order], np.concatenate([self.pair_ok, ok])[order]
-            return self._agree(keys)
-        return self.pair_ok[at]
+            place = np.searchsorted(self.pair_keys, new)
+            self.pair_keys, self.pair_ok = np.insert(self.pair_keys, place, new), np.insert(self.pair_ok, place, ok)
+        return out
 
-    def viterbi(self, codes: np.ndarray) -> list[list[int]]:
-        """Pieces of n words of equal length, given as code points; unknown characters as size + code point."""
+    def viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of n words of equal length, given as code points, in a row, and each word's number; unknown characters as size + code point."""
         n, length = codes.shape
         h = _prefix_hashes(codes.astype(np.uint64))
         wide, unk = self.size + 0x110000, (self.scores.min() if self.size else 0.0) - 10
@@ -160,14 +163,14 @@ class Pieces:
                 better = score > best[rows, j]
                 rows, t = rows[better], t[better]
                 best[rows, j], last[rows, j], back[rows, j] = score[better], t, j - k
-        out: list[list[int]] = [[] for _ in range(n)]
-        at = np.full(n, length)
-        while (at > 0).any():
-            rows = np.flatnonzero(at > 0)
-            for r, t in zip(rows.tolist(), last[rows, at[rows]].tolist()):
-                out[r].append(t)
-            at[rows] = back[rows, at[rows]]
-        return [x[::-1] for x in out]
+        rows, at, steps = np.arange(n), np.full(n, length), []
+        while len(rows):
+            steps.append((rows, last[rows, at]))
+            at = back[rows, at]
+            rows, at = rows[at > 0], at[at > 0]
+        row, found = (np.concatenate([x[k] for x in steps[::-1]]) for k in (0, 1))
+        order = np.argsort(row, kind="stable")
+        return found[order], np.bincount(row, minlength=n)
 
     def _finish(self, parts: list[int]) -> list[int]:
         """Unknown characters as bytes, or as one unknown piece for each run of them."""
@@ -191,22 +194,22 @@ class Pieces:
         for length, own in todo.items():
             for lo in range(0, len(own), BATCH):
                 part = own[lo : lo + BATCH]
-                if length > LONG and not self.unigram:
-                    got = [[self.ids.get(p, self.size + ord(p[0])) for p in self.merge(words[i])] for i in part]
-                elif length:
-                    codes = np.frombuffer("".join(words[i] for i in part).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, length)
-                    got = self.viterbi(codes) if length <= LONG else [self._long(codes[k]) for k in range(len(codes))]
+                if not 0 < length <= LONG:
+                    got = [self._long(words[i]) for i in part] if length else [[]] * len(part)
                 else:
-                    got = [[]] * len(part)
+                    codes = np.frombuffer("".join(words[i] for i in part).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, length)
+                    flat, n = self.viterbi(codes)
+                    got = np.split(flat, np.cumsum(n)[:-1])
                 for i, x in zip(part, got):
-                    found[i] = np.array(self._finish(x), "<u4").tobytes()
+                    found[i] = np.asarray(x if len(x) and max(x) < self.size else self._finish(list(x)), "<u4").tobytes()
                     if len(self._kept) < KEEP:
                         self._kept[words[i]] = found[i]
         return found
 
-    def _long(self, codes: np.ndarray) -> list[int]:
-        """Unigram Viterbi of one long word, by dictionary."""
-        word = "".join(map(chr, codes.tolist()))
+    def _long(self, word: str) -> list[int]:
+        """Pieces of one long word: by merging, or unigram Viterbi by dictionary."""
+        if not self.unigram:
+            return [self.ids.get(p, self.size + ord(p[0])) for p in self.merge(word)]
         unk = self.scores.min() - 10
         best: list[tuple[np.float32, int, int]] = [(np.float32(0), 0, -1)]
         for j in range(1, len(word) + 1):
@@ -267,11 +270,9 @@ def encode_decode(docs: DataFrame, model: str, with_ids: bool = False) -> DataFr
     schema = pa.schema([("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids_crc32", pa.int64()), ("decoded", pa.string()), ("round_trip", pa.bool_())] + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .packing import _slices
-
         tok = pieces(model)
         for batch in batches:
-            for b in _slices(batch, SLICE):
+            for b in slices(batch, SLICE):
                 texts = pc.fill_null(b.column("text"), "")
                 flat, counts = tok.encode(texts)
                 back = tok.decode(flat, counts)
@@ -284,4 +285,4 @@ def encode_decode(docs: DataFrame, model: str, with_ids: bool = False) -> DataFr
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return kept.mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, decoded string, round_trip boolean" + ", ids array<int>" * with_ids)
+    return kept.mapInArrow(tidied(run), "doc_id long, n_ids long, ids_crc32 long, decoded string, round_trip boolean" + ", ids array<int>" * with_ids)

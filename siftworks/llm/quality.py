@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from operator import eq
 
 import numpy as np
@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import by_rows, tidied
+from .staging import stage
+
 NAMES = ("log_words", "mean_word", "sd_word", "distinct_words", "repeated_next", "upper", "digit", "symbol", "beyond_ascii", "entropy", "sentence_ends", "symbol_ends", "distinct_lines", "words_per_line", "top_word")
 
 _BYTES = np.arange(256)
@@ -57,11 +60,11 @@ def features(docs: DataFrame) -> DataFrame:
     """(doc_id, x): the statistics of every row's whole text; a null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_rows(batches):
             x = pa.array([statistics(t) for t in b.column(1).to_pylist()], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([b.column(0), x], ["doc_id", "x"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, x array<double>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidied(run), "doc_id long, x array<double>")
 
 
 def held_out(fold: int = 5) -> Column:
@@ -77,15 +80,35 @@ class Model:
     means: np.ndarray | None = None
     factors: np.ndarray | None = None
     log_dets: np.ndarray | None = None
+    #: Calibration of the log-odds.
+    scale: float = 1.0
+    shift: float = 0.0
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Probability of class 1 for each row of x."""
+        return 1 / (1 + np.exp(-np.clip(self.scale * self.log_odds(x) + self.shift, -700, 700)))
+
+    def log_odds(self, x: np.ndarray) -> np.ndarray:
+        """Difference of the classes' log densities and priors."""
         gap = np.full(len(x), self.log_prior[1] - self.log_prior[0])
         if self.factors is not None and len(x):
             for k, sign in ((0, -1), (1, 1)):
                 z = (x - self.means[k]) @ self.factors[k].T  # squared length: Mahalanobis distance
                 gap += sign * (-0.5 * (z * z).sum(1) - self.log_dets[k])
-        return 1 / (1 + np.exp(-np.clip(gap, -700, 700)))
+        return gap
+
+
+def calibrate(gap: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 100) -> tuple[float, float]:
+    """Scale and shift of log-odds by regularised logistic regression on counted (gap, y), by Newton steps."""
+    x, b, ridge = np.stack([gap, np.ones_like(gap)], 1), np.array([1.0, 0.0]), np.array([1.0, 0.01])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
+        slope = x.T @ (n * (p - y)) + ridge * (b - [1.0, 0.0])
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + np.diag(ridge), slope)
+        b = b - np.clip(step, -1, 1)
+        if np.abs(step).max() < 1e-9:
+            break
+    return (float(b[0]), float(b[1])) if b[0] > 0 else (1.0, 0.0)
 
 
 def fit(feats: DataFrame, labels: DataFrame, to_pooled: float = 0.3, to_diagonal: float = 0.2) -> Model:
@@ -93,13 +116,14 @@ def fit(feats: DataFrame, labels: DataFrame, to_pooled: float = 0.3, to_diagonal
 
     Counts, sums and products by class are summed in parts, so the driver receives a fixed
     number of values however many rows there are. Each class covariance is shrunk towards the
-    pooled one by ``to_pooled`` and then towards the pooled diagonal by ``to_diagonal``.
+    pooled one by ``to_pooled`` and then towards the pooled diagonal by ``to_diagonal``. The
+    log-odds, too sure of themselves in the tails, are calibrated on counts of their tenths.
     Several labels of a document count as their majority; null labels are ignored. With a
     class missing, every score is the (smoothed) share of class 1.
     """
     d = len(NAMES)
     marks = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
-    rows = feats.join(marks, "doc_id").select("y", "x")
+    rows = stage(feats.join(marks, "doc_id").select("y", "x"), "labelled")
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 + d + d * d))
@@ -113,7 +137,7 @@ def fit(feats: DataFrame, labels: DataFrame, to_pooled: float = 0.3, to_diagonal
         yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), pa.array(i.ravel()), pa.array(total.ravel())], ["y", "i", "v"])
 
     sums = np.zeros((2, 1 + d + d * d))
-    for y, i, v in rows.mapInArrow(moments, "y long, i long, v double").groupBy("y", "i").agg(F.sum("v")).collect():
+    for y, i, v in rows.mapInArrow(tidied(moments), "y long, i long, v double").groupBy("y", "i").agg(F.sum("v")).collect():
         sums[y, i] = v
     n = sums[:, 0]
     log_prior = tuple(np.log((n + 1) / (n.sum() + 2)).tolist())
@@ -125,7 +149,16 @@ def fit(feats: DataFrame, labels: DataFrame, to_pooled: float = 0.3, to_diagonal
     diagonal = np.diag(np.maximum(np.diag(pooled), 1e-6))
     shrunk = [(1 - to_diagonal) * ((1 - to_pooled) * c + to_pooled * pooled) + to_diagonal * diagonal for c in covs]
     lower = [np.linalg.cholesky(c) for c in shrunk]
-    return Model(log_prior, means, np.stack([np.linalg.inv(c) for c in lower]), np.array([np.log(np.diag(c)).sum() for c in lower]))
+    model = Model(log_prior, means, np.stack([np.linalg.inv(c) for c in lower]), np.array([np.log(np.diag(c)).sum() for c in lower]))
+
+    def tenths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            gap = model.log_odds(b.column(1).flatten().to_numpy().reshape(-1, d))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.round(np.clip(gap, -50, 50) * 10).astype(np.int64))], ["y", "tenth"])
+
+    counts = np.array(rows.mapInArrow(tidied(tenths), "y int, tenth long").groupBy("y", "tenth").count().collect(), np.float64)
+    scale, shift = calibrate(counts[:, 1] / 10, counts[:, 0], counts[:, 2])
+    return replace(model, scale=scale, shift=shift)
 
 
 def score(feats: DataFrame, model: Model) -> DataFrame:
@@ -133,11 +166,11 @@ def score(feats: DataFrame, model: Model) -> DataFrame:
     d = len(NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_rows(batches):
             x = b.column(1).flatten().to_numpy().reshape(-1, d)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.scores(x))], ["doc_id", "score"])
 
-    return feats.select("doc_id", "x").mapInArrow(run, "doc_id long, score double")
+    return feats.select("doc_id", "x").mapInArrow(tidied(run), "doc_id long, score double")
 
 
 def with_score(docs: DataFrame, model: Model) -> DataFrame:
@@ -146,8 +179,8 @@ def with_score(docs: DataFrame, model: Model) -> DataFrame:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_rows(batches):
             x = np.array([statistics(t) for t in b.column(names.index("text")).to_pylist()]).reshape(-1, len(NAMES))
             yield pa.RecordBatch.from_arrays(b.columns + [pa.array(model.scores(x))], [*names, "score"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(tidied(run), T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))

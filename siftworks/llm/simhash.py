@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import by_rows, tidied
 from .graph import components
 from .staging import stage
 
@@ -40,11 +41,11 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp): one row per document, fp as a signed long. Null and wordless texts have fp 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_rows(batches):
             fp = pa.array([_signed(fingerprint(t, shingle)) for t in b.column(1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), fp], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidied(run), "doc_id long, fp long")
 
 
 def covering_masks(radius: int, bits: int = 64) -> list[int]:
@@ -154,13 +155,13 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, r
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_rows(batches):
             got = [_words(t) for t in b.column(1).to_pylist()]
             k = np.frombuffer(b"".join(g[1] for g in got), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy())], ["doc_id", "fp", "ka", "kb"])
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seen = stage(kept.mapInArrow(scan, "doc_id long, fp long, ka long, kb long"), "fingerprints")
+    seen = stage(kept.mapInArrow(tidied(scan), "doc_id long, fp long, ka long, kb long"), "fingerprints")
     codes = stage(seen.where("doc_id is not null").groupBy("ka", "kb", "fp").agg(F.min("doc_id").alias("rep")), "codes")
     masks, active, found = covering_masks(radius), codes.select("rep", "fp"), None
     rounds = (*rounds, len(masks) - sum(rounds)) if sum(rounds) < len(masks) else rounds
@@ -177,14 +178,14 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, r
         active = stage(active.join(near, "rep", "left_anti"), "active")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_rows(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, shingle) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "s"])
 
     ids = found.select(F.explode(F.array("rep", "to")).alias("doc_id")).distinct()
-    of = stage(kept.join(ids, "doc_id").select("doc_id", "text").mapInArrow(sets, "id long, s array<long>").dropDuplicates(["id"]), "sets")
+    of = stage(kept.join(ids, "doc_id").select("doc_id", "text").mapInArrow(tidied(sets), "id long, s array<long>").dropDuplicates(["id"]), "sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_rows(batches):
             ok = []
             for x, y in zip(b.column(2), b.column(3)):
                 x, y = x.values.to_numpy(), y.values.to_numpy()
@@ -193,7 +194,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, r
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     pairs = found.join(of.select(F.col("id").alias("rep"), F.col("s").alias("x")), "rep").join(of.select(F.col("id").alias("to"), F.col("s").alias("y")), "to")
-    links = pairs.select("rep", "to", "x", "y").mapInArrow(verify, "a long, b long")
+    links = pairs.select("rep", "to", "x", "y").mapInArrow(tidied(verify), "a long, b long")
     groups = components(links).withColumnRenamed("node", "rep")
     of_code = codes.join(groups, "rep", "left").select("ka", "kb", "fp", F.coalesce("component", "rep").alias("component_id"))
     return seen.join(of_code, ["ka", "kb", "fp"], "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import by_rows, tidied
 from .staging import stage
 
 WINDOW, GRAM = 50, 10
@@ -69,25 +70,28 @@ def _anchors(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h, at + np.arange(len(at))
 
 
-_SEEN = "doc_id long, rid long, n_words long, key_a long, key_b long, anchors array<long>"
+_SEEN = "doc_id long, rid long, n_words long, key_a long, key_b long, anchors array<long>, times array<int>"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each document's number of words, a hash of its words and its anchors' hashes."""
-    for b in batches:
-        n, keys, anchors = [], [], []
+    """Each document's number of words, a hash of its words, its anchors' distinct hashes and how often each occurs."""
+    for b in by_rows(batches):
+        n, keys, anchors, times = [], [], [], []
         for t in b.column(2).to_pylist():
             words = split(t)
             n.append(len(words))
             keys.append(xxhash.xxh3_128_digest(b" ".join(words)))
             if len(words) >= WINDOW:
                 h, at = _anchors(_hashes(words))
-                anchors.append(h[at[np.flatnonzero(np.diff(at, prepend=-1))]].view(np.int64))
+                own, often = np.unique(h[at[np.flatnonzero(np.diff(at, prepend=-1))]], return_counts=True)
             else:
-                anchors.append(np.zeros(0, np.int64))
+                own = often = np.zeros(0, np.uint64)
+            anchors.append(own.view(np.int64))
+            times.append(often.astype(np.int32))
         k = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
-        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, anchors)]), pa.int32()), pa.array(np.concatenate(anchors or [np.zeros(0, np.int64)])))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), lists], [x.split()[0] for x in _SEEN.split(", ")])
+        ends = pa.array(np.cumsum([0, *map(len, anchors)]), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*x, np.zeros(0, t)]))) for x, t in ((anchors, np.int64), (times, np.int32))]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), *lists], [x.split()[0] for x in _SEEN.split(", ")])
 
 
 _FOUND = "whole boolean, key_a long, key_b long, doc_id long, rid long, pos int, lo int, hi int, left binary, right binary"
@@ -97,7 +101,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows for the trees (an anchor's position, its windows' distances and the words around it), and whole windows of frequent prefixes."""
     names = [x.split()[0] for x in _FOUND.split(", ")]
     types = [pa.bool_(), *[pa.int64()] * 4, *[pa.int32()] * 3, pa.binary(), pa.binary()]
-    for b in batches:
+    for b in by_rows(batches):
         rows: list[tuple] = []
         for doc, rid, text, few, many in zip(*(c.to_pylist() for c in b.columns)):
             w = _hashes(split(text))
@@ -115,10 +119,13 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append((False, int(hs[k]), 0, doc, rid, p, p - j, p - i, back[n - p : n - i].tobytes(), flat[p + GRAM : j + WINDOW].tobytes()))
             if many:
                 ka, kb = _grams(w, WINDOW, 1).view(np.int64), _grams(w, WINDOW, 2).view(np.int64)
-                for k in np.flatnonzero(np.isin(hs, np.array(many, np.int64)) & ~cold).tolist():
-                    for i in range(int(first[k]), int(last[k]) + 1):
-                        rows.append((True, int(ka[i]), int(kb[i]), doc, rid, i, 0, 0, None, None))
-            if len(rows) > 50_000:
+                hot = np.flatnonzero(np.repeat(np.isin(hs, np.array(many, np.int64)) & ~cold, last - first + 1))
+                new = np.ones(len(hot), bool)  # equal windows one after another, as of one word only, are one row
+                new[1:] = (np.diff(hot) > 1) | (np.diff(ka[hot]) != 0) | (np.diff(kb[hot]) != 0)
+                runs = np.flatnonzero(new)
+                for i, j in zip(hot[runs].tolist(), hot[np.append(runs[1:], len(hot)) - 1].tolist()):
+                    rows.append((True, int(ka[i]), int(kb[i]), doc, rid, i, 0, j, None, None))
+            if len(rows) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names)
                 rows = []
         if rows:
@@ -206,22 +213,23 @@ def spans(docs: DataFrame) -> DataFrame:
     if they have a window at all.
     """
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("rid"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    seen = stage(kept.select("doc_id", "rid", "text").mapInArrow(_scan, _SEEN).where(f"n_words >= {WINDOW}"), "seen")
+    seen = stage(kept.select("doc_id", "rid", "text").mapInArrow(tidied(_scan), _SEEN).where(f"n_words >= {WINDOW}"), "seen")
     least = seen.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
     copy = F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))
     marked = seen.select("doc_id", "rid", "key_a", "key_b", "n_words").join(least, ["key_a", "key_b"], "left").where(copy)
     copies = stage(marked.select("doc_id", "rid", "n_words").distinct(), "copies")
-    firsts = seen.select("doc_id", "rid", F.explode("anchors").alias("h")).join(copies, ["doc_id", "rid"], "left_anti")
-    again = firsts.groupBy("h").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count("*").alias("n")).where("x < y")
+    firsts = seen.join(copies, ["doc_id", "rid"], "left_anti").select("doc_id", "rid", F.explode(F.arrays_zip("anchors", "times")).alias("a"))
+    firsts = firsts.select("doc_id", "rid", F.col("a.anchors").alias("h"), F.col("a.times").alias("times"))
+    again = firsts.groupBy("h").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.sum("times").alias("n")).where("x < y")
     hits = firsts.join(again.select("h", (F.col("n") <= GROUP).alias("few")), "h").groupBy("doc_id", "rid").agg(F.collect_set(F.when(F.col("few"), F.col("h"))).alias("few"), F.collect_set(F.when(~F.col("few"), F.col("h"))).alias("many"))
-    found = kept.join(hits, ["doc_id", "rid"]).select("doc_id", "rid", "text", "few", "many").mapInArrow(_gather, _FOUND)
+    found = kept.join(hits, ["doc_id", "rid"]).select("doc_id", "rid", "text", "few", "many").mapInArrow(tidied(_gather), _FOUND)
     found = stage(found, "suffixes")
     some = found.where("not whole").select("key_a", "doc_id", "rid", "pos", "lo", "hi", "left", "right")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    in_trees = some.repartition(n, "key_a").sortWithinPartitions("key_a").mapInArrow(_trees, "doc_id long, rid long, start long, end long")
-    deep = found.where("whole").select("key_a", "key_b", "doc_id", "rid", F.col("pos").cast("long").alias("start"))
+    in_trees = some.repartition(n, "key_a").sortWithinPartitions("key_a").mapInArrow(tidied(_trees), "doc_id long, rid long, start long, end long")
+    deep = found.where("whole").select("key_a", "key_b", "doc_id", "rid", F.col("pos").cast("long").alias("start"), (F.col("hi") + WINDOW).cast("long").alias("end"))
     smallest = deep.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("key_a", "key_b", "x")
-    in_nodes = deep.join(smallest, ["key_a", "key_b"]).where("doc_id > x").select("doc_id", "rid", "start", (F.col("start") + WINDOW).alias("end"))
+    in_nodes = deep.join(smallest, ["key_a", "key_b"]).where("doc_id > x").select("doc_id", "rid", "start", "end")
     return in_trees.union(in_nodes).union(copies.select("doc_id", "rid", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
 
 
@@ -248,7 +256,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     names = joined.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_rows(batches):
             texts, found = b.column(names.index("text")).to_pylist(), b.column(names.index("_runs")).to_pylist()
             out = []
             for t, r in zip(texts, found):
@@ -260,4 +268,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     more = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
     schema = T.StructType([*docs.schema.fields, *more])
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(tidied(run), schema)

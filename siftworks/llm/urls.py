@@ -6,6 +6,7 @@ has 33**3 parameters at most, whatever the input; they reach the scan as one con
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -59,9 +60,17 @@ def _codes(url: Column) -> Column:
     return F.concat(F.array(F.lit(0), F.lit(0)), F.transform(chars, code))
 
 
-def _grams(codes: Column) -> Column:
-    n = F.size(codes) - 2
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(codes, i) * SIZE**2 + F.get(codes, i + 1) * SIZE + F.get(codes, i + 2))).otherwise(F.array().cast("array<int>"))
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it occurs there; else every step of a lambda would compute it anew."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _grams(url: Column) -> Column:
+    def of(codes: Column) -> Column:
+        n = F.size(codes) - 2
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(codes, i) * SIZE**2 + F.get(codes, i + 1) * SIZE + F.get(codes, i + 2))).otherwise(F.array().cast("array<int>"))
+
+    return _once(_codes(url), of)
 
 
 @dataclass(frozen=True)
@@ -74,8 +83,8 @@ class Model:
     def score(self, url: Column) -> Column:
         """Mean log-likelihood difference per character, accepted less rejected; 0 for an empty URL."""
         table = F.split(F.lit(",".join(map(str, self.weights))), ",").cast("array<int>")  # folded to a constant
-        total = F.aggregate(_grams(_codes(url)), F.lit(0).cast("long"), lambda s, g: s + F.get(table, g))
-        return F.coalesce(total / F.greatest(F.size(_codes(url)) - 2, F.lit(1)) / MICRO, F.lit(0.0))
+        mean = lambda g: F.aggregate(g, F.lit(0).cast("long"), lambda s, x: s + F.get(table, x)) / F.greatest(F.size(g), F.lit(1)) / MICRO
+        return F.coalesce(_once(_grams(url), mean), F.lit(0.0))
 
 
 def _ratio(counts: DataFrame) -> DataFrame:
@@ -112,7 +121,7 @@ def fit(urls: DataFrame) -> Model:
     """
     urls = urls.where("url is not null and accepted is not null").withColumn("kept_out", F.substring(F.md5("url"), 1, 1).isin("0", "1", "2"))
     one = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    grams = urls.where("not kept_out").select("accepted", F.explode(_grams(_codes(F.col("url")))).alias("g"))
+    grams = urls.where("not kept_out").select("accepted", F.explode(_grams(F.col("url"))).alias("g"))
     counts = grams.groupBy("g").agg(one(F.col("accepted")).alias("accepted"), one(~F.col("accepted")).alias("rejected"))
     weights = tuple(r.w for r in sorted(_ratio(counts).collect()))
     model = Model(weights, 0.0)
