@@ -10,8 +10,10 @@ the same distance from their start. Suffixes that start at anchors are partition
   is a run whose common prefixes are at least d long. One tree reads the words to the right of
   the anchor, one the words to the left; a window at distance o is repeated where occurrences
   share a left node of depth o and a right node of depth WINDOW - o;
-* more frequent prefixes are lengthened to the whole window, whose tree would be a single deep
-  node; a grouped minimum finds its smallest document, however many documents share it.
+* more frequent prefixes are lengthened by HALF words, to the right for windows with as many words
+  there and to the left for the others, and go into such groups; those that are still more
+  frequent are lengthened to the whole window, whose tree would be a single deep node: a grouped
+  minimum finds its smallest document, however many documents share it.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from .staging import stage
 
 WINDOW, GRAM = 50, 10
 SPAN = WINDOW - GRAM
+HALF = SPAN // 2
 #: Occurrences of a prefix that one tree takes, and rows that are sorted together.
 GROUP, SORTED = 20_000, 20_000
 #: Bytes of a word's hash that the trees compare.
@@ -98,7 +101,7 @@ _FOUND = "whole boolean, key_a long, key_b long, doc_id long, rid long, pos int,
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows for the trees (an anchor's position, its windows' distances and the words around it), and whole windows of frequent prefixes."""
+    """Rows for the trees: an anchor's position, its windows' distances and the words around it; of frequent prefixes (``whole``) under longer ones."""
     names = [x.split()[0] for x in _FOUND.split(", ")]
     types = [pa.bool_(), *[pa.int64()] * 4, *[pa.int32()] * 3, pa.binary(), pa.binary()]
     for b in by_rows(batches):
@@ -117,14 +120,15 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in np.flatnonzero(cold).tolist():
                 p, i, j = int(pos[k]), int(first[k]), int(last[k])
                 rows.append((False, int(hs[k]), 0, doc, rid, p, p - j, p - i, back[n - p : n - i].tobytes(), flat[p + GRAM : j + WINDOW].tobytes()))
-            if many:
-                ka, kb = _grams(w, WINDOW, 1).view(np.int64), _grams(w, WINDOW, 2).view(np.int64)
-                hot = np.flatnonzero(np.repeat(np.isin(hs, np.array(many, np.int64)) & ~cold, last - first + 1))
-                new = np.ones(len(hot), bool)  # equal windows one after another, as of one word only, are one row
-                new[1:] = (np.diff(hot) > 1) | (np.diff(ka[hot]) != 0) | (np.diff(kb[hot]) != 0)
-                runs = np.flatnonzero(new)
-                for i, j in zip(hot[runs].tolist(), hot[np.append(runs[1:], len(hot)) - 1].tolist()):
-                    rows.append((True, int(ka[i]), int(kb[i]), doc, rid, i, 0, j, None, None))
+            hot = np.isin(hs, np.array(many or [], np.int64)) & ~cold
+            for k in np.flatnonzero(hot).tolist():  # longer prefixes: to the right for windows that have HALF words there, to the left for the others
+                p, i, j = int(pos[k]), int(first[k]), int(last[k])
+                lo, hi = p - j, p - i
+                left, right = back[n - p : n - i].tobytes(), flat[p + GRAM : j + WINDOW].tobytes()
+                for side, low, high, words in ((b"r", lo, min(hi, HALF), right), (b"l", max(lo, HALF + 1), hi, left)):
+                    if low <= high:
+                        longer = xxhash.xxh3_64_intdigest(side + h[p].tobytes() + words[: HALF * WIDE])
+                        rows.append((True, longer - (longer >> 63 << 64), 0, doc, rid, p, low, high, left, right))
             if len(rows) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names)
                 rows = []
@@ -205,6 +209,18 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solve(pa.Table.from_batches(held))
 
 
+def _deepen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each window around an anchor under a hash of all its words."""
+    names = ["key_a", "key_b", "doc_id", "rid", "start", "end"]
+    for b in batches:
+        rows: list[tuple] = []
+        for key, doc, rid, p, lo, hi, left, right in zip(*(c.to_pylist() for c in b.columns)):
+            for o in range(lo, hi + 1):
+                own = xxhash.xxh3_128_digest(b"%d:%d:" % (key, o) + left[: o * WIDE] + right[: (SPAN - o) * WIDE])
+                rows.append((int.from_bytes(own[:8], "little", signed=True), int.from_bytes(own[8:], "little", signed=True), doc, rid, p - o, p - o + WINDOW))
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in (zip(*rows) if rows else [[]] * 6)], names)
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """(doc_id, rid, start, end): runs of words, by position, that are covered by windows which also start in a smaller document.
 
@@ -224,10 +240,12 @@ def spans(docs: DataFrame) -> DataFrame:
     hits = firsts.join(again.select("h", (F.col("n") <= GROUP).alias("few")), "h").groupBy("doc_id", "rid").agg(F.collect_set(F.when(F.col("few"), F.col("h"))).alias("few"), F.collect_set(F.when(~F.col("few"), F.col("h"))).alias("many"))
     found = kept.join(hits, ["doc_id", "rid"]).select("doc_id", "rid", "text", "few", "many").mapInArrow(tidied(_gather), _FOUND)
     found = stage(found, "suffixes")
-    some = found.where("not whole").select("key_a", "doc_id", "rid", "pos", "lo", "hi", "left", "right")
+    cols = ["key_a", "doc_id", "rid", "pos", "lo", "hi", "left", "right"]
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    large = stage(found.where("whole").groupBy("key_a").count().where(F.col("count") > GROUP).select("key_a"), "large")
+    some = found.join(large, "key_a", "left_anti").select(*cols)
     in_trees = some.repartition(n, "key_a").sortWithinPartitions("key_a").mapInArrow(tidied(_trees), "doc_id long, rid long, start long, end long")
-    deep = found.where("whole").select("key_a", "key_b", "doc_id", "rid", F.col("pos").cast("long").alias("start"), (F.col("hi") + WINDOW).cast("long").alias("end"))
+    deep = found.where("whole").join(large, "key_a").select(*cols).mapInArrow(tidied(_deepen), "key_a long, key_b long, doc_id long, rid long, start long, end long")
     smallest = deep.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("key_a", "key_b", "x")
     in_nodes = deep.join(smallest, ["key_a", "key_b"]).where("doc_id > x").select("doc_id", "rid", "start", "end")
     return in_trees.union(in_nodes).union(copies.select("doc_id", "rid", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
