@@ -1,13 +1,14 @@
-"""Near-duplicate documents by SimHash fingerprints and covering locality-sensitive hashing."""
+"""Near-duplicate documents: SimHash with covering locality-sensitive hashing, and exact Jaccard groups."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .batches import by_rows, tidied
@@ -16,6 +17,10 @@ from .staging import stage
 
 #: Shingles hashed at a time; bounds the memory of one very long document.
 CHUNK = 1 << 15
+#: Texts in which common shingles are counted, and how many of these are kept: both bounded at any input size.
+SAMPLE, COMMON = 50_000, 200_000
+#: Rounds in which codes are compared with one code of each bucket, before all are.
+TURNS = 1
 
 
 def _signed(x: int) -> int:
@@ -117,18 +122,6 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, hot: int
     return fps.join(of_code, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def _words(text: str | None) -> tuple[int, bytes]:
-    """SimHash over a text's distinct words, and a hash of its lower-cased words in order."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    digest = xxhash.xxh64_intdigest
-    own = list(dict.fromkeys(words))
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(own), CHUNK):
-        h = np.fromiter((digest(w, 42) for w in own[at : at + CHUNK]), np.uint64)
-        ones += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return _signed(int.from_bytes(np.packbits(2 * ones > len(own)).tobytes(), "big")), xxhash.xxh3_128_digest(b" ".join(words))
-
-
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     """Sorted hashes of a text's distinct shingles of lower-cased words; of all its words, if fewer."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -138,51 +131,73 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle])) for i in range(n)), np.uint64, n)).view(np.int64)
 
 
-def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 6, rounds: tuple[int, ...] = (8, 24, 32, 63)) -> DataFrame:
-    """(doc_id, component_id): groups of documents whose shingle sets have a Jaccard index of at least ``similarity``.
+def _common(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several of ``SAMPLE`` distinct texts hold, sorted, and how many of these hold each.
 
-    64 bits over word shingles cannot be searched at the distance that a Jaccard index of 0.8
-    implies (about 12 bits: 8191 covering masks). SimHash over distinct words moves far less,
-    about 4 bits, so candidates are taken within ``radius`` bits of it under all its covering
-    masks, and the exact Jaccard index decides. Masks are used in ``rounds``; in each bucket
-    candidates are linked to the smallest doc_id, and a document that has found its nearest
-    such link leaves the later rounds. So a group of near copies of any size costs its size
-    times the first round's masks, and no pairs are written out; but links are found to a
-    group's first document or to one on the way to it, not between all members.
-
-    Texts of the same words are one code. Null and wordless texts are copies of each other.
-    Rows without a doc_id have a null component_id.
+    They only decide in which order shingles are looked at, so sample and cut cost time, not links.
     """
+    step = max(1, -(-docs.count() // SAMPLE))
+    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(step)) == 0).select(F.lit(0).alias("id"), "text").distinct()
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_rows(batches):
-            got = [_words(t) for t in b.column(1).to_pylist()]
-            k = np.frombuffer(b"".join(g[1] for g in got), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy())], ["doc_id", "fp", "ka", "kb"])
+            w, n = np.unique(np.concatenate([np.zeros(0, np.int64), *(shingle_set(t, shingle) for t in b.column(1).to_pylist())]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(n.astype(np.int64))], ["w", "n"])
+
+    counted = some.mapInArrow(tidied(count), "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).where("n > 3")
+    got = counted.orderBy(F.desc("n"), "w").limit(COMMON).toArrow()
+    w, n = got.column("w").to_numpy(), got.column("n").to_numpy()
+    order = np.argsort(w)
+    return w[order], n[order]
+
 
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, block: int = 256) -> DataFrame:
+    """(doc_id, component_id): groups of documents whose shingle sets have a Jaccard index of at least ``similarity``.
+
+    Exact but for 64-bit shingle hashes: component_id is the smallest doc_id that can be
+    reached over such pairs. Documents of the same shingle set are one code. Each set is
+    ordered, rare shingles first; two sets that are alike share one of the first
+    n - ceil(similarity * n) + 1, and the first one they share leaves enough behind it in
+    both. So codes meet at these shingles. First each code is compared with one code
+    of each of its buckets, which brings groups of near copies together at about their own
+    size; then all members of a bucket that are not yet connected are compared, in squares of
+    ``block`` by ``block`` codes. Only links that the exact Jaccard index confirms count, and no
+    code leaves before all its candidates are compared or connected with it.
+
+    Null and wordless texts are copies of each other. Rows without a doc_id have a null component_id.
+    """
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seen = stage(kept.mapInArrow(tidied(scan), "doc_id long, fp long, ka long, kb long"), "fingerprints")
-    codes = stage(seen.where("doc_id is not null").groupBy("ka", "kb", "fp").agg(F.min("doc_id").alias("rep")), "codes")
-    masks, active, found = covering_masks(radius), codes.select("rep", "fp"), None
-    rounds = (*rounds, len(masks) - sum(rounds)) if sum(rounds) < len(masks) else rounds
-    at = 0
-    for n in rounds:
-        table = F.explode(F.array(*(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(masks[t]))).alias("key")) for t in range(at, min(at + n, len(masks))))))
-        at += n
-        keyed = active.select("rep", "fp", table.alias("k")).select("rep", "fp", "k.t", "k.key")
-        first = keyed.groupBy("t", "key").agg(F.min(F.struct("rep", "fp")).alias("m"), F.count("*").alias("n")).where("n > 1").select("t", "key", "m")
-        gap = F.bit_count(F.col("fp").bitwiseXOR(F.col("m.fp")))
-        near = keyed.join(first, ["t", "key"]).where((F.col("rep") > F.col("m.rep")) & (gap <= radius))
-        near = stage(near.groupBy("rep").agg(F.min(F.struct(gap.alias("gap"), F.col("m.rep").alias("to"))).alias("x")).select("rep", F.col("x.to").alias("to")), "near")
-        found = near if found is None else found.union(near)
-        active = stage(active.join(near, "rep", "left_anti"), "active")
+    common, times = _common(kept, shingle)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def key(s: np.ndarray) -> bytes:
+        return xxhash.xxh3_128_digest(s.tobytes())
+
+    def rare(s: np.ndarray) -> np.ndarray:
+        """The shingles of a set at which similar sets meet, rare ones first."""
+        if len(common):
+            at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+            s = s[np.argsort(np.where(common[at] == s, times[at], 0), kind="stable")]
+        return s[: len(s) - math.ceil(similarity * len(s) - 1e-9) + 1]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_rows(batches):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, shingle) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "s"])
+            got = [shingle_set(t, shingle) for t in b.column(1).to_pylist()]
+            k = np.frombuffer(b"".join(map(key, got)), np.int64).reshape(-1, 2)
+            n, p = pa.array([len(s) for s in got], pa.int64()), pa.array([rare(s) for s in got], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), n, p], ["doc_id", "id", "more", "n", "p"])
+
+    seen = stage(kept.mapInArrow(tidied(scan), "doc_id long, id long, more long, n long, p array<long>"), "shingles")
+    codes = stage(seen.where("doc_id is not null").groupBy("id", "more").agg(F.min("doc_id").alias("rep")), "codes")
+    places = seen.where("doc_id is not null").select("id", "n", F.posexplode("p").alias("i", "w"))
+    bucket = Window.partitionBy("w")
+    shared = places.withColumns({"least": F.min("id").over(bucket), "most": F.max("id").over(bucket)}).where("least <> most")
+    members = stage(shared.select("w", "id", "n", "i").distinct(), "members")
 
-    ids = found.select(F.explode(F.array("rep", "to")).alias("doc_id")).distinct()
-    of = stage(kept.join(ids, "doc_id").select("doc_id", "text").mapInArrow(tidied(sets), "id long, s array<long>").dropDuplicates(["id"]), "sets")
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in by_rows(batches):
+            got = [shingle_set(t, shingle) for t in b.column(1).to_pylist()]
+            k = np.frombuffer(b"".join(map(key, got)), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(k[:, 0].copy()), pa.array(got, pa.list_(pa.int64()))], ["id", "s"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_rows(batches):
@@ -193,8 +208,32 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, r
                 ok.append(both >= similarity * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    pairs = found.join(of.select(F.col("id").alias("rep"), F.col("s").alias("x")), "rep").join(of.select(F.col("id").alias("to"), F.col("s").alias("y")), "to")
-    links = pairs.select("rep", "to", "x", "y").mapInArrow(tidied(verify), "a long, b long")
-    groups = components(links).withColumnRenamed("node", "rep")
-    of_code = codes.join(groups, "rep", "left").select("ka", "kb", "fp", F.coalesce("component", "rep").alias("component_id"))
-    return seen.join(of_code, ["ka", "kb", "fp"], "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        pairs = stage(pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "pairs")
+        reps = stage(codes.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id").select(F.col("rep").alias("doc_id")).distinct(), "ids")
+        of = kept.join(reps, "doc_id").select("doc_id", "text").mapInArrow(tidied(sets), "id long, s array<long>").dropDuplicates(["id"])
+        both = pairs.join(of.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(of.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+        return stage(both.select("a", "b", "sa", "sb").mapInArrow(tidied(verify), "a long, b long"), "alike")
+
+    alike = F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) + 1e-9 >= (F.col("x.n") + F.col("y.n")) * (similarity / (1 + similarity))
+    size = F.least("x.n", "y.n") + 1e-9 >= F.greatest("x.n", "y.n") * similarity
+    code, links, groups = F.struct("id", "n", "i", "part"), None, None
+    for turn in range(TURNS + 1):
+        now = members.withColumn("part", F.col("id")) if groups is None else members.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
+        open_ = now.groupBy("w").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), *(F.col(c) for c in ("id", "n", "i", "part")))).alias("y"), F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("c")).where("p <> q").select("w", "y", "c")
+        now = now.join(open_, "w").select("w", "c", code.alias("x"), "y")
+        if turn < TURNS:
+            pairs = now.where(size)
+        else:
+            last = F.ceil(F.col("c") / block).cast("int") - 1
+            own = now.select("w", "x", F.pmod(F.xxhash64("x.id", F.lit("block")), last + 1).cast("int").alias("own"), last.alias("last"))
+            low = own.select("w", "x", F.col("own").alias("lo"), F.explode(F.sequence("own", "last")).alias("hi"))
+            high = own.select("w", F.col("x").alias("y"), F.explode(F.sequence(F.lit(0), "own")).alias("lo"), F.col("own").alias("hi"))
+            pairs = low.join(high, ["w", "lo", "hi"]).where(alike & ((F.col("lo") < F.col("hi")) | (F.col("x.id") < F.col("y.id"))))
+        found = confirmed(pairs.where("x.part <> y.part"))
+        links = found if links is None else links.union(found)
+        groups = components(links)
+    of_code = stage(codes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("id", "more", "rep", F.coalesce("component", "id").alias("part")), "parts")
+    least = of_code.groupBy("part").agg(F.min("rep").alias("component_id"))
+    of_code = of_code.join(least, "part").select("id", "more", "component_id")
+    return seen.select("doc_id", "id", "more").join(of_code, ["id", "more"], "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

@@ -1,6 +1,7 @@
 """Text operators against brute force on small tables."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -76,6 +77,32 @@ def test_similar_groups(docs):
     assert missed <= 0.02 * len(d)
 
 
+def alike_groups(d):
+    sets = {i: set(simhash.shingle_set(t, 5).tolist()) for i, t in d.items()}
+    return groups(d, [(a, b) for a in d for b in d if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+
+
+def test_similar_groups_beside_decoys(spark, odd, nothing):
+    """Reordered texts have the words of a near copy, but not its shingles; they must not hide it, in crowded buckets either."""
+    rnd = random.Random(5)
+    d = {}
+    for k in range(8):
+        words = [f"k{k}w{j}" for j in range(200)]
+        for i in range(3):
+            d[100 * k + i] = " ".join(rnd.sample(words, len(words)))
+        for i in range(3, 7):
+            d[100 * k + i] = " ".join(words[:190] + [f"k{k}x{i}{j}" for j in range(4)])
+    parts = [" ".join(f"p{k}w{j}" for j in range(40)) for k in range(9)]
+    for i in range(60):
+        d[1000 + i] = " ".join(rnd.sample(parts, rnd.randint(3, 5)))
+    for df in (spark.createDataFrame(list(d.items()), "doc_id long, text string"), odd, nothing):
+        own = texts(df)
+        want = alike_groups(own)
+        for block in (256, 3):
+            rows = simhash.similar_groups(df, block=block).collect()
+            assert len(rows) == df.count() and all(r.component_id == want[r.doc_id] for r in rows)
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
