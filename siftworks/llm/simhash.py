@@ -59,9 +59,11 @@ def covering_masks(radius: int, bits: int = 64) -> list[int]:
     Bit i carries a non-zero vector m(i) of radius+1 bits; for each non-zero v, mask v keeps
     the bits with an odd number of common ones in m(i) and v. The differing bits' vectors
     cannot span the space, so some v is orthogonal to all of them and its mask drops them.
+    Where there are more vectors than bits, the bits take vectors spread over all of them.
     """
     size = (1 << (radius + 1)) - 1
-    return [sum(((1 + i % size) & v).bit_count() % 2 << i for i in range(bits)) for v in range(1, size + 1)]
+    m = [1 + (i if size <= bits else 5 * i) % size for i in range(bits)]
+    return [sum((m[i] & v).bit_count() % 2 << i for i in range(bits)) for v in range(1, size + 1)]
 
 
 def _ball(code: Column, bits: list[int]) -> Column:

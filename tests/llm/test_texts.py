@@ -103,6 +103,24 @@ def test_similar_groups_beside_decoys(spark, odd, nothing):
             assert len(rows) == df.count() and all(r.component_id == want[r.doc_id] for r in rows)
 
 
+def test_near_copies_at_the_edge_are_all_found(spark):
+    """Pairs that are alike but not identical, just above an index of 0.8, whatever their words."""
+    rnd, d = random.Random(6), {}
+    for k in range(150):
+        words = [f"k{k}w{j}" for j in range(rnd.randint(60, 120))]
+        n = next(n for n in range(len(words)) if len(words) - 4 < 0.8 * (len(words) - 4 + n + 1))
+        d[2 * k], d[2 * k + 1] = " ".join(words), " ".join(words + [f"k{k}x{j}" for j in range(n)])
+    want = alike_groups(d)
+    assert all(want[2 * k + 1] == 2 * k for k in range(150))
+    df = spark.createDataFrame(list(d.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()} == want
+
+
+def test_masks_use_all_dimensions():
+    masks = simhash.covering_masks(6)
+    assert len(set(masks)) == 127 and min(m.bit_count() for m in masks) > 16
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
