@@ -1,7 +1,9 @@
 """The pipeline's stages against brute force, each on its own input."""
 
 import numpy as np
+import public_tokenizers
 from test_texts import groups, plain_repeats, plain_spans, texts
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from siftworks.llm import quality, simhash
@@ -28,6 +30,24 @@ def test_stages(spark, sf):
     assert {r.doc_id for r in docs.collect()} == set(masked)
 
 
+def test_sequences_can_be_built_from_the_result(spark, odd, sf):
+    """The last stage's rows alone give each document's ids, and sequences without gaps or overlaps."""
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = odd.dropDuplicates(["doc_id"])
+    own, ids, sequences = texts(docs), {}, {}
+    for r in sorted(corpus_pipeline.pack_sequences(spark, docs, sf).collect(), key=lambda r: (r.doc_id, r.start)):
+        assert len(r.ids) == r.length
+        ids.setdefault(r.doc_id, []).extend(r.ids)
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.ids))
+    assert ids == {i: [*tok.encode(t or "", add_special_tokens=False).ids, 0] for i, t in own.items()}
+    for parts in sequences.values():
+        at = 0
+        for offset, part in sorted(parts, key=lambda x: x[0]):
+            assert offset == at
+            at += len(part)
+        assert at <= 2048
+
+
 def test_run_registers(spark, sf):
     import __spark_entry__ as e
 
