@@ -1,14 +1,17 @@
 """Language-model scoring: a hashed maximum-entropy model with a class-factored softmax.
 
-A word's hash gives its class and its place within the class. The class has a softmax over
-CLASSES with features of the word before (n-gram), the two before (n-gram) and the second
-before (skip); the place has one over PLACES with the class and the word before. Features are
-hashed into ROWS rows of weights each. Words of one place share its probability by their
-smoothed counts in the training texts, so the probabilities of all known words and one unknown
-word of each place add up to one.
-
-Every task makes gradient updates over its own texts, in batches; a row's weights are then the
-mean over tasks, weighted by how often each used it. All training texts take part.
+A word's hash gives its cell, LEVELS digits of BITS bits. Each digit has a softmax over WIDTH
+values: the first digit is the word's class, each further one a class within those before it.
+Its logits are a bias, from the training counts of the cells, and the weights of two hashed
+features: the word before, and the two before, each together with the digits so far. The first
+digit also has the second word before alone (a skip). Words of one cell share its probability by
+their smoothed counts in the training texts, so the probabilities of all known words and one
+unknown word of each cell add up to one.
+
+Texts are dealt by a hash into shards of about SHARD bytes, and sorted there. Training goes in
+ROUNDS: in each, every shard makes gradient steps (AdaGrad) over its own part of the round, from
+weights that are the mean of all shards' after the round before. So weights and scores depend on
+the rows only, not on how a table is partitioned.
 """
 
 from __future__ import annotations
@@ -20,20 +23,27 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .batches import slices, tidied
 from .staging import stage
 
-CLASSES = PLACES = 32
-#: Rows of weights for each kind of feature; the bias of the classes is the last row, after those of the places.
-ROWS, KINDS = 4096, 4
-N_ROWS = KINDS * ROWS + CLASSES + 1
-#: Tokens in a gradient step, its rate, bytes of text in a scoring block.
-STEP, RATE, BLOCK = 16_384, 0.15, 24_000_000
+LEVELS, BITS = 4, 3
+WIDTH, CELLS = 1 << BITS, 1 << LEVELS * BITS
+#: Features of each digit: 0 the word before, 1 the two before, 2 the second before.
+FEATURES = ((0, 1, 2), *((0, 1) for _ in range(LEVELS - 1)))
+TABLES = [(level, k) for level in range(LEVELS) for k in FEATURES[level]]
+#: Rows of a feature's table are as many as a power of two that grows with the corpus, within these.
+LEAST_ROWS, MOST_ROWS = 1 << 12, 1 << 15
+#: Bytes of text for each row, in a shard, and in a part of it that is worked on together.
+ROW_BYTES, SHARD, PART = 64, 64_000_000, 6_000_000
+#: Averaging rounds, tokens in a gradient step, its rate.
+ROUNDS, STEP, RATE = 2, 8192, 0.4
 END = xxhash.xxh64_intdigest(b"\n")
 _SALT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+_ONES = np.ones(WIDTH, np.float32)
+_RECORD = np.dtype((np.void, 4 * WIDTH))
 
 
 @dataclass
@@ -65,96 +75,98 @@ def tokens(texts: pa.Array) -> Tokens:
     return Tokens(np.append(hashes, np.uint64(END)), code, ends)
 
 
-def _row(h: np.ndarray, kind: int) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(29))) * _SALT[kind]
-    return (h >> np.uint64(40)).astype(np.int64) % ROWS + kind * ROWS
+def cell_of(h: np.ndarray) -> np.ndarray:
+    """The cells of words by their hash."""
+    return (h >> np.uint64(7)).astype(np.int64) & (CELLS - 1)
 
 
-def place_of(h: np.ndarray) -> np.ndarray:
-    """class * PLACES + place of words by their hash."""
-    return (h >> np.uint64(7)).astype(np.int64) & (CLASSES * PLACES - 1)
+def biases(mass: np.ndarray) -> list[np.ndarray]:
+    """Log-probabilities of each digit after those before it, from the cells' masses (all positive)."""
+    out = []
+    for level in range(LEVELS):
+        x = mass.reshape(WIDTH ** (level + 1), -1).sum(1).reshape(-1, WIDTH)
+        out.append(np.log(x / x.sum(1, keepdims=True)).astype(np.float32))
+    return out
 
 
-def _contexts(t: Tokens, lo: int, hi: int, starts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Rows of the class features and of the place features, the class and the place of tokens lo to hi."""
-    h = t.hashes[t.code[max(0, lo - 2) : hi]]
-    pad = 2 - (lo - max(0, lo - 2))
-    h = np.concatenate([np.zeros(pad, np.uint64), h])
-    one, two = h[1:-1].copy(), h[:-2].copy()
-    one[starts[lo:hi]] = 0  # nothing before a text's first word
-    two[starts[lo:hi]] = 0
-    two[1:][starts[lo : hi - 1]] = 0
+def contexts(h: np.ndarray, starts: np.ndarray, lo: int, hi: int) -> list[np.ndarray]:
+    """Hashes of the features of tokens lo to hi: the word before, both before, the second before; nothing before a text's first word."""
+    x = np.concatenate([np.zeros(max(0, 2 - lo), np.uint64), h[max(0, lo - 2) : hi]])
+    one, two, first = x[1:-1].copy(), x[:-2].copy(), starts[lo:hi]
+    one[first] = 0
+    two[first] = 0
+    two[1:][first[:-1]] = 0
     if lo and starts[lo - 1]:
         two[0] = 0
-    both = place_of(h[2:])
-    c, p = both // PLACES, both % PLACES
-    rows = (_row(one, 0), _row(one * _SALT[1] + two + np.uint64(1), 1), _row(two, 2))
-    return rows, _row(one + c.astype(np.uint64) * _SALT[2], 3), c, p
-
+    return [one * _SALT[0] + np.uint64(1), one * _SALT[1] + two * _SALT[2] + np.uint64(1), two * _SALT[3] + np.uint64(1)]
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
-    return x
 
+class Model:
+    """Tables of weights and, under training, of their summed squared gradients."""
 
-class Weights:
-    """Rows of weights under training, with each row's number of uses."""
+    def __init__(self, rows: int, bias: list[np.ndarray], w: np.ndarray | None = None, squares: np.ndarray | None = None) -> None:
+        self.shift, self.bias = np.uint64(64 - (rows.bit_length() - 1)), bias
+        self.w = np.zeros((len(TABLES), rows, WIDTH), np.float32) if w is None else w
+        self.squares = np.ones((len(TABLES), rows), np.float32) if squares is None else squares
 
-    def __init__(self) -> None:
-        self.w, self.squares = np.zeros((N_ROWS, CLASSES), np.float32), np.full((N_ROWS, CLASSES), 1.0, np.float32)
-        self.uses = np.zeros(N_ROWS, np.int64)
-
-    def _update(self, rows: np.ndarray, g: np.ndarray) -> None:
-        order = np.argsort(rows.astype(np.uint16), kind="stable")
-        own = rows[order]
-        first = np.flatnonzero(np.diff(own, prepend=-1))
-        own, total = own[first], np.add.reduceat(g[order], first)
-        self.uses[own] += np.diff(np.append(first, len(rows)))
-        self.squares[own] += total * total
-        self.w[own] -= RATE * total / np.sqrt(self.squares[own])
-
-    def learn(self, t: Tokens, kept: np.ndarray) -> None:
-        """Gradient steps over the tokens of the texts that ``kept`` marks."""
-        starts = np.zeros(len(t.code), bool)
-        starts[np.concatenate([[0], t.ends[:-1]])] = True
-        use = np.repeat(kept, np.diff(np.concatenate([[0], t.ends])))
-        if not self.uses.any():
-            both = place_of(t.hashes[t.code[use]])
-            seen = np.bincount(both, minlength=CLASSES * PLACES).reshape(CLASSES, PLACES) + 0.5
-            self.w[-1], self.w[KINDS * ROWS : -1] = np.log(seen.sum(1)), np.log(seen)
-        for lo in range(0, len(t.code), STEP):
-            hi, on = min(lo + STEP, len(t.code)), use[lo : lo + STEP]
-            if not on.any():
+    def steps(self, h: np.ndarray, starts: np.ndarray, use: np.ndarray | None = None) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]]:
+        """For each step and digit: where it is (lo, hi), the digit, probabilities, token numbers, true values and the rows of its tables."""
+        for lo in range(0, len(h), STEP):
+            hi = min(lo + STEP, len(h))
+            on = None if use is None else use[lo:hi]
+            if on is not None and not on.any():
                 continue
-            rows, row, c, p = _contexts(t, lo, hi, starts)
-            rows, row, c, p = tuple(r[on] for r in rows), row[on], c[on], p[on]
-            n = np.arange(len(c))
-            g = _softmax(self.w[rows[0]] + self.w[rows[1]] + self.w[rows[2]] + self.w[-1])
-            g[n, c] -= 1
-            for r in rows:
-                self._update(r, g)
-            self._update(np.full(len(c), N_ROWS - 1), g)
-            bias = KINDS * ROWS + c
-            g = _softmax(self.w[row] + self.w[bias])
-            g[n, p] -= 1
-            self._update(row, g)
-            self._update(bias, g)
-
-
-def log_probs(w: np.ndarray, t: Tokens) -> np.ndarray:
-    """log10 of each token's class and place probability."""
-    starts = np.zeros(len(t.code), bool)
-    starts[np.concatenate([[0], t.ends[:-1]])] = True
-    out = np.empty(len(t.code))
-    for lo in range(0, len(t.code), STEP):
-        hi = min(lo + STEP, len(t.code))
-        rows, row, c, p = _contexts(t, lo, hi, starts)
-        n = np.arange(hi - lo)
-        a = _softmax(w[rows[0]] + w[rows[1]] + w[rows[2]] + w[-1])[n, c]
-        b = _softmax(w[row] + w[KINDS * ROWS + c])[n, p]
-        out[lo:hi] = np.log10(a.astype(np.float64)) + np.log10(b.astype(np.float64))
+            ctx, cell = contexts(h, starts, lo, hi), cell_of(h[lo:hi])
+            if on is not None and not on.all():
+                ctx, cell = [c[on] for c in ctx], cell[on]
+            at, table = np.arange(len(cell)), 0
+            for level in range(LEVELS):
+                before = cell >> BITS * (LEVELS - level)
+                salt = (before + WIDTH**level).astype(np.uint64) * _SALT[2]
+                rows = []
+                for k in FEATURES[level]:
+                    rows.append((table, (((ctx[k] ^ salt) * _SALT[1]) >> self.shift).astype(np.uint16)))
+                    table += 1
+                p = np.take(self.bias[level], before, axis=0)
+                for t, r in rows:
+                    p += np.take(self.w[t], r, axis=0)
+                np.exp(p, out=p)  # logits stay small: AdaGrad bounds the weights' growth
+                p /= (p @ _ONES)[:, None]
+                yield lo, hi, level, p, at, (cell >> BITS * (LEVELS - level - 1)) & (WIDTH - 1), rows
+
+    def learn(self, h: np.ndarray, starts: np.ndarray, use: np.ndarray) -> None:
+        """Gradient steps over the tokens that ``use`` marks."""
+        for _, _, _, g, at, true, rows in self.steps(h, starts, use):
+            g[at, true] -= 1
+            for t, r in rows:
+                self._update(t, r, g)
+
+    def _update(self, t: int, r: np.ndarray, g: np.ndarray) -> None:
+        order = np.argsort(r, kind="stable")
+        own = r[order]
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        n = np.diff(np.append(first, len(r)))
+        total = np.take(g, order[first], axis=0)
+        if (many := n > 1).any():  # most rows of a step have one token
+            size = n[many]
+            total[many] = np.add.reduceat(np.take(g, order[np.repeat(many, n)], axis=0), np.cumsum(size) - size)
+        own = own[first]
+        squares = np.take(self.squares[t], own) + np.einsum("ij,ij->i", total, total) / 2
+        self.squares[t][own] = squares
+        total *= (RATE / np.sqrt(squares))[:, None]
+        self.w[t].view(_RECORD).ravel()[own] = (np.take(self.w[t], own, axis=0) - total).view(_RECORD).ravel()
+
+    def log_probs(self, h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each token's cell."""
+        out = np.ones(len(h))
+        for lo, hi, _, p, at, true, _ in self.steps(h, starts):
+            out[lo:hi] *= p[at, true]
+        return np.log10(out)
+
+
+def _starts(ends: np.ndarray) -> np.ndarray:
+    out = np.zeros(int(ends[-1]) if len(ends) else 0, bool)
+    out[np.concatenate([[0], ends[:-1]])[: len(ends)]] = True
     return out
 
 
@@ -164,88 +176,171 @@ def held_out(fold: int = 7, at: int = 2) -> Column:
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+_CODED = "shard long, doc_ids array<long>, held array<boolean>, ends array<binary>, codes array<binary>, hashes binary, n binary"
+_CODED_ARROW = pa.schema([("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("ends", pa.list_(pa.binary())), ("codes", pa.list_(pa.binary())), ("hashes", pa.binary()), ("n", pa.binary())])
+
+
+class _Shard:
+    """A shard's texts as codes into its own words, in parts, compressed."""
+
+    def __init__(self) -> None:
+        self.hashes, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.sorted, self.of_sorted = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.doc_ids: list[int | None] = []
+        self.held: list[bool] = []
+        self.ends: list[bytes] = []
+        self.codes: list[bytes] = []
+
+    def add(self, b: pa.RecordBatch) -> None:
+        t = tokens(b.column("text"))
+        at = np.searchsorted(self.sorted, t.hashes)
+        known = np.zeros(len(t.hashes), bool) if not len(self.sorted) else self.sorted[np.minimum(at, len(self.sorted) - 1)] == t.hashes
+        code = np.empty(len(t.hashes), np.int32)
+        code[known] = self.of_sorted[at[known]]
+        new = t.hashes[~known]
+        code[~known] = np.arange(len(self.hashes), len(self.hashes) + len(new))
+        self.hashes = np.concatenate([self.hashes, new])
+        order = np.argsort(new)
+        place = np.searchsorted(self.sorted, new[order])
+        self.sorted, self.of_sorted = np.insert(self.sorted, place, new[order]), np.insert(self.of_sorted, place, code[~known][order])
+        on = ~b.column("held_out").to_numpy(zero_copy_only=False)
+        use = np.repeat(on, np.diff(np.concatenate([[0], t.ends])))
+        n = np.zeros(len(self.hashes), np.int64)
+        n[: len(self.n)] = self.n
+        np.add.at(n, code, np.bincount(t.code[use], minlength=len(t.hashes)))
+        self.n = n
+        self.doc_ids += b.column("doc_id").to_pylist()
+        self.held += (~on).tolist()
+        self.ends.append(t.ends.astype(np.int64).tobytes())
+        self.codes.append(pa.compress(code[t.code].astype(np.int32).tobytes(), codec="zstd", asbytes=True))
+
+    def row(self, shard: int) -> pa.RecordBatch:
+        values = (shard, self.doc_ids, self.held, self.ends, self.codes, self.hashes.tobytes(), self.n.astype(np.int64).tobytes())
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _CODED_ARROW)], schema=_CODED_ARROW)
+
+
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each shard of (shard, doc_id, held_out, text), whose rows come together."""
+    at, own = None, _Shard()
+    for batch in batches:
+        key = batch.column("shard").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+        for lo, hi in zip(edges, edges[1:]):
+            if hi == lo:
+                continue
+            if key[lo] != at:
+                if at is not None:
+                    yield own.row(at)
+                at, own = int(key[lo]), _Shard()
+            for b in slices(batch.slice(lo, hi - lo), PART):
+                own.add(b)
+    if at is not None:
+        yield own.row(at)
+
+
+def _parts(b: dict, i: int, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, slice]]:
+    """Of a shard's row: codes, hashes, ends and the texts of each part."""
+    at = 0
+    for packed, ends in zip(b["codes"][i], b["ends"][i]):
+        ends = np.frombuffer(ends, np.int64)
+        code = np.frombuffer(pa.decompress(packed, decompressed_size=4 * int(ends[-1]), codec="zstd", asbytes=True), np.int32)
+        yield code, hashes[code], ends, slice(at, at + len(ends))
+        at += len(ends)
 
 
 def score(docs: DataFrame, test: Column | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row's whole text.
 
-    Texts that ``test`` marks are kept out of the training. One pass counts words and trains;
-    task-wise counts are summed by word hash. For scoring, texts are dealt by hash into blocks
-    of about BLOCK bytes; each block asks once for each of its distinct words' counts, so a
-    word's row is as frequent as blocks that hold it, and receives them beside its texts.
-    The driver holds the weights and the sums by place, whose number is fixed.
-    Null texts count as empty and consist of an end; repeated rows are counted each; an empty
-    table gives an empty result; other columns are not looked at.
+    Texts that ``test`` marks are kept out of the training. Each text is tokenised once: a
+    shard becomes one row of codes into its own words. Every (shard, word) is one row of a
+    table partitioned by word, where training counts are summed and given back to the shards,
+    so a word's rows are as many as shards that hold it. The driver holds the weights, 9 tables
+    of MOST_ROWS rows at most, and the sums by cell. Null texts count as empty and consist of an
+    end; repeated rows are counted each; an empty table gives an empty result; other columns
+    are not looked at.
     """
     test = held_out() if test is None else test
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), test.alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-
-    def count_and_learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weights, size = ["kind", "key", "n", "w"], Weights(), 0
-        for batch in batches:
-            for b in slices(batch):
-                t = tokens(b.column(2))
-                on = ~b.column(1).to_numpy(zero_copy_only=False)
-                size += b.column(2).nbytes
-                if on.any():
-                    weights.learn(t, on)
-                    use = np.repeat(on, np.diff(np.concatenate([[0], t.ends])))
-                    n = np.bincount(t.code[use], minlength=len(t.hashes))
-                    at = np.flatnonzero(n)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(at), np.int32)), pa.array(t.hashes[at].view(np.int64)), pa.array(n[at]), pa.nulls(len(at), pa.list_(pa.float32()))], names)
-        at = np.flatnonzero(weights.uses)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * CLASSES, pa.int32()), pa.array(weights.w[at].ravel()))
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), np.int32)), pa.array(at), pa.array(weights.uses[at]), lists], names)
-        yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([0]), pa.array([size]), pa.nulls(1, pa.list_(pa.float32()))], names)
-
-    found = stage(kept.mapInArrow(tidied(count_and_learn), "kind int, key long, n long, w array<float>"), "learned")
-    counts = stage(found.where("kind = 0").groupBy(F.col("key").alias("h")).agg(F.sum("n").alias("c")), "counts")
-    means = [(F.sum(F.col("n") * F.get("w", i)) / F.sum("n")).cast("float") for i in range(CLASSES)]
-    rows = found.where("kind = 1").groupBy("key").agg(F.array(*means).alias("w")).toPandas()
-    w = np.zeros((N_ROWS, CLASSES), np.float32)
-    if len(rows):
-        w[rows["key"].to_numpy()] = np.stack(rows["w"].to_numpy())
-    size = found.where("kind = 2").agg(F.sum("n")).first()[0] or 0
-    total, kinds = np.zeros(CLASSES * PLACES), np.zeros(CLASSES * PLACES)
-    spot = F.shiftrightunsigned("h", 7).bitwiseAND(CLASSES * PLACES - 1)
-    for k, n, v in counts.groupBy(spot).agg(F.sum("c"), F.count("*")).collect():
+    size = kept.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    shards = max(1, -(-size // SHARD))
+    rows = 1 << int(np.clip(size // ROW_BYTES, LEAST_ROWS, MOST_ROWS)).bit_length() - 1
+
+    mix = F.xxhash64("doc_id", "text")
+    dealt = kept.withColumns({"shard": F.pmod(mix, F.lit(shards)).cast("long"), "_mix": F.xxhash64("text", "doc_id")})
+    dealt = dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "_mix", "doc_id").select("shard", "doc_id", "held_out", "text")
+    coded = stage(dealt.mapInArrow(tidied(_encode), _CODED), "coded")
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for shard, hashes, n in zip(*(c.to_pylist() for c in b.columns)):
+                h, n = np.frombuffer(hashes, np.int64), np.frombuffer(n, np.int64)
+                for at in range(0, len(h), 100_000):
+                    own = slice(at, at + 100_000)
+                    k = len(h[own])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(k, shard)), pa.array(np.arange(at, at + k, dtype=np.int32)), pa.array(h[own]), pa.array(n[own])], ["shard", "i", "h", "n"])
+
+    by_word = Window.partitionBy("h")
+    one = coded.select("shard", "hashes", "n").mapInArrow(tidied(words), "shard long, i int, h long, n long")
+    one = one.select("shard", "i", "h", F.sum("n").over(by_word).alias("c"), F.min("shard").over(by_word).alias("least"))
+    spot = F.when(F.col("shard") == F.col("least"), F.shiftrightunsigned("h", 7).bitwiseAND(CELLS - 1).cast("int"))
+    counts = stage(one.select("shard", "i", "c", spot.alias("cell")), "counts")
+    total, kinds = np.zeros(CELLS), np.zeros(CELLS)
+    for k, n, v in counts.where("cell is not null and c > 0").groupBy("cell").agg(F.sum("c"), F.count("*")).collect():
         total[k], kinds[k] = n, v
     within, all_tokens = np.log10(total + kinds + 1), int(total.sum())
     below = float(np.log10(total.sum() + kinds.sum() + 1))
-    blocks = max(1, -(-size // BLOCK))
-
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            block = batch.column(3).to_numpy()
-            for k in np.unique(block):
-                own = batch.filter(pa.array(block == k))
-                for b in slices(own, BLOCK):
-                    h = tokens(b.column(2)).hashes
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k)), pa.array(h.view(np.int64))], ["block", "h"])
+    bias = biases(total + 1)
+    w, squares = _train(coded, rows, bias)
 
     def judge(key: tuple[pa.Scalar, ...], texts: pa.Table, known: pa.Table) -> pa.Table:
-        h = known.column("h").to_numpy().view(np.uint64)
-        order = np.argsort(h)
-        h, c = h[order], known.column("c").to_numpy()[order]
-        out = []
-        for batch in texts.combine_chunks().to_batches():
-            for b in slices(batch):
-                t = tokens(b.column("text"))
-                at = np.minimum(np.searchsorted(h, t.hashes), max(len(h) - 1, 0))
-                n = np.where(h[at] == t.hashes, c[at], 0) if len(h) else np.zeros(len(t.hashes), np.int64)
-                first = np.concatenate([[0], t.ends[:-1]])
+        model, out = Model(rows, bias, w, squares), []
+        b = texts.to_pydict()
+        for i in range(texts.num_rows):
+            hashes = np.frombuffer(b["hashes"][i], np.uint64)
+            n = np.zeros(len(hashes), np.int64)
+            n[known.column("i").to_numpy()] = known.column("c").to_numpy()
+            up = np.log10(n + 1.0)
+            share = up - within[cell_of(hashes)]
+            for code, h, ends, own in _parts(b, i, hashes):
+                first = np.concatenate([[0], ends[:-1]])
                 sums = lambda x: np.add.reduceat(x, first)
-                up = np.log10(n + 1.0)
-                size = t.ends - first
-                base = sums(up[t.code]) - size * below
-                model = sums(log_probs(w, t) + (up - within[place_of(t.hashes)])[t.code])
-                out.append(pa.table({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": size, "n_known": sums((n > 0).astype(np.int64)[t.code]), "base_score": base, "score": model}))
-        if not out:
-            return pa.table({k: pa.array([], v) for k, v in zip(("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"), (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))})
-        return pa.concat_tables(out)
-
-    dealt = kept.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition(blocks, "block")
-    wanted = dealt.mapInArrow(tidied(asked), "block long, h long")
-    given = wanted.join(counts, "h")
-    scored = dealt.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(judge, SCORES)
+                size = ends - first
+                base, known_ = sums(up[code]) - size * below, sums((n > 0).astype(np.int64)[code])
+                out.append(pa.table({"doc_id": pa.array(b["doc_ids"][i][own], pa.int64()), "held_out": pa.array(b["held"][i][own], pa.bool_()), "n_tokens": size, "n_known": known_, "base_score": base, "score": sums(model.log_probs(h, _starts(ends)) + share[code])}))
+        return pa.concat_tables(out) if out else pa.table({k: pa.array([], v) for k, v in zip(("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"), (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))})
+
+    texts = coded.drop("n")
+    scored = texts.groupBy("shard").cogroup(counts.select("shard", "i", "c").groupBy("shard")).applyInArrow(judge, SCORES)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(all_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def _train(coded: DataFrame, rows: int, bias: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and mean squares after all rounds: each row's weights are the shards' mean, weighted by their gradients' squares."""
+    w, squares = np.zeros((len(TABLES), rows, WIDTH), np.float32), np.ones((len(TABLES), rows), np.float32)
+    for turn in range(ROUNDS):
+        start_w, start_squares = w, squares
+
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    b = batch.slice(k, 1).to_pydict()
+                    model, hashes = Model(rows, bias, start_w.copy(), start_squares.copy()), np.frombuffer(b["hashes"][0], np.uint64)
+                    held = np.array(b["held"][0], bool)
+                    for part, (_, h, ends, own) in enumerate(_parts(b, 0, hashes)):
+                        if part % ROUNDS == turn:
+                            use = np.repeat(~held[own], np.diff(np.concatenate([[0], ends])))
+                            model.learn(h, _starts(ends), use)
+                    gain = (model.squares - start_squares).ravel()
+                    at = np.flatnonzero(gain > 0)
+                    lists = pa.FixedSizeListArray.from_arrays(pa.array(model.w.reshape(-1, WIDTH)[at].ravel()), WIDTH).cast(pa.list_(pa.float32()))
+                    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(gain[at]), lists], ["key", "s", "w"])
+
+        found = coded.select("shard", "held", "ends", "codes", "hashes").mapInArrow(tidied(learn), "key long, s float, w array<float>")
+        means = [(F.sum(F.col("s").cast("double") * F.get("w", i)) / F.sum(F.col("s").cast("double"))).cast("float").alias(f"w{i}") for i in range(WIDTH)]
+        got = found.groupBy("key").agg(*means, F.avg(F.col("s").cast("double")).cast("float").alias("s")).toArrow()
+        w, squares = w.copy(), squares.copy()
+        if got.num_rows:
+            at = got.column("key").to_numpy()
+            w.reshape(-1, WIDTH)[at] = np.stack([got.column(f"w{i}").to_numpy() for i in range(WIDTH)], 1)
+            squares.ravel()[at] += got.column("s").to_numpy()
+    return w, squares

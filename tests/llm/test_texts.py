@@ -1,5 +1,6 @@
 """Text operators against brute force on small tables."""
 
+import itertools
 import math
 import random
 import re
@@ -9,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from siftworks.llm import lm, packing, pieces, pii, quality, simhash, substring
 
@@ -183,34 +185,118 @@ def test_quality_density_is_gaussian():
     assert np.allclose(model.scores(x), 1 / (1 + np.exp(-(log[1] - log[0] + 0.5))))
 
 
+def lm_words(t):
+    return (t or "").encode().lower().split() + [b"\n"]
+
+
+def lm_in_training(i):
+    return zlib.crc32(str(i).encode()) % 7 != 2
+
+
 def test_lm(docs, odd, nothing):
-    for df in (docs, odd.dropDuplicates(["doc_id"])):
-        d = {i: (t or "").encode().lower().split() + [b"\n"] for i, t in texts(df).items()}
-        c = Counter(w for i, x in d.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in x)
+    for df in (docs, odd):  # with repeated rows
+        d = [(r.doc_id, lm_words(r.text)) for r in df.select("doc_id", "text").collect()]
+        c = Counter(w for i, x in d if lm_in_training(i) for w in x)
         n = sum(c.values())
+        want = Counter((i, len(x), sum(c[w] > 0 for w in x), n, not lm_in_training(i), round(sum(math.log10((c[w] + 1) / (n + len(c) + 1)) for w in x), 6)) for i, x in d)
         rows = lm.score(df).collect()
-        assert len(rows) == len(d)
-        for r in rows:
-            base = sum(math.log10((c[w] + 1) / (n + len(c) + 1)) for w in d[r.doc_id])
-            assert math.isclose(base, r.base_score, rel_tol=1e-9) and r.score < 0
-            assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (len(d[r.doc_id]), sum(c[w] > 0 for w in d[r.doc_id]), n, zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
+        assert all(r.score < 0 for r in rows)
+        assert Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.held_out, round(r.base_score, 6)) for r in rows) == want
     assert lm.score(nothing).count() == 0
 
 
-def test_lm_is_normalised_and_better_than_base(docs):
+def plain_lm(rows, size):
+    """The model of one shard in plain loops; rows: (doc_id, words) in the order of training."""
+    salt, top = [int(x) for x in lm._SALT], (1 << 64) - 1
+    c = Counter(w for i, x in rows if lm_in_training(i) for w in x)
+    code = {w: xxhash.xxh64_intdigest(w) for _, x in rows for w in x}
+    digits = lambda w: [(code[w] >> 7 + lm.BITS * (lm.LEVELS - 1 - k)) % lm.WIDTH for k in range(lm.LEVELS)]
+    cell = lambda w: tuple(digits(w))
+    total, kinds = Counter(), Counter()
+    for w, n in c.items():
+        total[cell(w)] += n
+        kinds[cell(w)] += 1
+    mass = Counter()
+    for x in itertools.product(range(lm.WIDTH), repeat=lm.LEVELS):
+        for k in range(lm.LEVELS + 1):
+            mass[x[:k]] += total[x] + 1
+    weights, squares = {}, {}
+
+    def row(table, context, before):
+        x = 0
+        for v in before:
+            x = x * lm.WIDTH + v
+        key = (context ^ (x + lm.WIDTH ** len(before)) * salt[2] & top) * salt[1] & top
+        return table, key >> 64 - size.bit_length() + 1
+
+    def places(x, k):
+        one = code[x[k - 1]] if k else 0
+        two = code[x[k - 2]] if k > 1 else 0
+        ctx = [one * salt[0] + 1 & top, one * salt[1] + two * salt[2] + 1 & top, two * salt[3] + 1 & top]
+        d = digits(x[k])
+        for level in range(lm.LEVELS):
+            own = [row(t, ctx[f], d[:level]) for t, (at, f) in enumerate(lm.TABLES) if at == level]
+            logits = [math.log(mass[tuple(d[:level]) + (v,)] / mass[tuple(d[:level])]) + sum(weights[r][v] if r in weights else 0 for r in own) for v in range(lm.WIDTH)]
+            whole = sum(map(math.exp, logits))
+            yield d[level], [math.exp(v) / whole for v in logits], own
+
+    flat = [(i, x, k) for i, x in rows for k in range(len(x))]
+    for lo in range(0, len(flat), lm.STEP):
+        for level in range(lm.LEVELS):
+            sums = {}
+            for i, x, k in flat[lo : lo + lm.STEP]:
+                if lm_in_training(i):
+                    true, p, own = list(places(x, k))[level]
+                    for r in own:
+                        g = sums.setdefault(r, [0.0] * lm.WIDTH)
+                        for v in range(lm.WIDTH):
+                            g[v] += p[v] - (v == true)
+            for r, g in sums.items():
+                squares[r] = squares.get(r, 1.0) + sum(v * v for v in g) / 2
+                own = weights.setdefault(r, [0.0] * lm.WIDTH)
+                weights[r] = [w - lm.RATE * v / math.sqrt(squares[r]) for w, v in zip(own, g)]
+    share = lambda w: (c[w] + 1) / (total[cell(w)] + kinds[cell(w)] + 1)
+    return [(i, sum(sum(math.log10(p[true]) for true, p, _ in places(x, k)) + math.log10(share(x[k])) for k in range(len(x)))) for i, x in rows]
+
+
+def test_lm_scores_equal_a_plain_model(docs):
+    few = docs.where("doc_id < 40 and length(text) < 2000")
+    order = few.select("doc_id", "text", F.xxhash64("text", "doc_id").alias("m")).orderBy("m", "doc_id").collect()
+    want = plain_lm([(r.doc_id, lm_words(r.text)) for r in order], lm.LEAST_ROWS)
+    got = {r.doc_id: r.score for r in lm.score(few).collect()}
+    assert len(got) == len(want) > 15
+    for i, s in want:
+        assert math.isclose(got[i], s, rel_tol=1e-4)
+
+
+@pytest.mark.parametrize("shard", [64_000_000, 100_000])
+def test_lm_does_not_depend_on_partitions(docs, shard, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD", shard)
+    want = sorted((r.doc_id, r.score) for r in lm.score(docs).collect())
+    for n in (1, 4, 16):
+        got = sorted((r.doc_id, r.score) for r in lm.score(docs.repartition(n)).collect())
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert all(math.isclose(g[1], w[1], rel_tol=1e-6) for g, w in zip(got, want))
+
+
+def test_lm_is_normalised():
     import pyarrow as pa
 
     t = lm.tokens(pa.array(["a b c", None, " "]))
     assert t.ends.tolist() == [4, 5, 6] and len(t.hashes) == 4
-    w = lm.Weights()
-    w.learn(t, np.array([True, True, True]))
-    p = 0.0
-    for place in range(lm.CLASSES * lm.PLACES):  # all first words after a text's start
-        u = lm.Tokens(np.array([place << 7, lm.END], np.uint64), np.array([0, 1], np.int32), np.array([2]))
-        p += 10 ** lm.log_probs(w.w, u)[0]
-    assert math.isclose(p, 1, rel_tol=1e-5)
-    rows = [r for r in lm.score(docs).collect() if not r.held_out]
-    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+    model = lm.Model(lm.LEAST_ROWS, lm.biases(np.arange(lm.CELLS) + 1.0))
+    model.learn(t.hashes[t.code], lm._starts(t.ends), np.ones(6, bool))
+    for before in (0, 12345 << 7):  # all words that can follow one, and start a text
+        h = np.array([x for cell in range(lm.CELLS) for x in (before, cell << 7)], np.uint64)
+        p = 10 ** model.log_probs(h, np.arange(len(h)) % 2 == 0)
+        assert math.isclose(p[1::2].sum(), 1, rel_tol=1e-4)
+
+
+def test_lm_is_better_than_base_on_texts_it_has_not_seen(spark):
+    rows = lm.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    for held, least in ((True, 0.1), (False, 0.3)):
+        own = [r for r in rows if r.held_out == held]
+        assert sum(r.score - r.base_score for r in own) > least * sum(r.n_tokens for r in own)
 
 
 def plain_repeats(d):
