@@ -29,22 +29,34 @@ class Encoder:
 
     The vocabulary's ids are its merge order, so a rank engine gives the library's own ids;
     tests compare the two. A space before a non-space always starts a token, so a text
-    falls apart there; texts with other spaces, which are rare, are encoded whole.
+    falls apart there; texts with other spaces, which are rare, are encoded whole. Texts that
+    hold one of the vocabulary's added tokens are left to the tokenizers library itself.
     """
 
     def __init__(self, path: str) -> None:
         import tiktoken
         from public_tokenizers import PATTERN
 
-        vocab = json.load(open(path, encoding="utf-8"))["model"]["vocab"]
+        file = json.load(open(path, encoding="utf-8"))
+        vocab, added = file["model"]["vocab"], file.get("added_tokens", [])
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         byte = {chr(b): b for b in printable} | {chr(256 + n): b for n, b in enumerate(others)}
-        special = {x["id"] for x in json.load(open(path, encoding="utf-8")).get("added_tokens", [])}
+        special = {x["id"] for x in added}
         ranks = {bytes(byte[c] for c in piece): i for piece, i in vocab.items() if i not in special}
         self._engine = tiktoken.Encoding("siftworks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._path, self._library = path, None
+        self._added = re.compile("|".join(re.escape(x["content"]) for x in added)) if added else None
         self._kept: dict[str, bytes] = {}
 
+    def _whole(self, text: str) -> list[int]:
+        """The library's own ids of a text."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self._path)
+        return self._library.encode(text, add_special_tokens=False).ids
+
     def _word(self, word: str) -> bytes:
         ids = array("I", self._engine.encode_ordinary(word)).tobytes()
         if len(self._kept) < KEEP:
@@ -53,7 +65,12 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids in a row, as uint32, and each text's number of ids."""
-        loose = {i: self._engine.encode_ordinary(t) for i, t in enumerate(texts.to_pylist()) if _LOOSE.search(t)}
+        loose: dict[int, list[int]] = {}
+        for i, t in enumerate(texts.to_pylist()):
+            if self._added is not None and self._added.search(t):
+                loose[i] = self._whole(t)
+            elif _LOOSE.search(t):
+                loose[i] = self._engine.encode_ordinary(t)
         if loose:
             texts = pc.if_else(pa.array([i in loose for i in range(len(texts))]), "", texts)
         words = pc.split_pattern(texts, " ")
@@ -122,6 +139,60 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0,
     return kept.mapInArrow(tidied(run), PIECE + ", ids array<int>" * with_ids)
 
 
+class Complements:
+    """Index of sums of one, two and three lengths over the counts of pieces that are left.
+
+    For each sum it holds the largest first member that may still complete it. Counts only
+    fall, so a combination that has run out never comes back, and each entry only moves down:
+    all lookups together cost at most the number of pairs of lengths. What the sequence being
+    filled uses itself (``own``) is looked past without moving an entry.
+    """
+
+    def __init__(self, left: np.ndarray) -> None:
+        n = len(left)
+        self.left = left.tolist()
+        self.pair, self.triple = [s - 1 for s in range(n)], [s - 2 for s in range(n)]
+
+    def take(self, parts: tuple[int, ...], times: int) -> None:
+        for x in parts:
+            self.left[x] -= times
+
+    def _free(self, x: int, own: dict[int, int], n: int = 1) -> bool:
+        return self.left[x] - own.get(x, 0) >= n
+
+    def two(self, total: int, own: dict[int, int]) -> tuple[int, int] | None:
+        """The pair of this sum with the largest first member."""
+        left, a = self.left, self.pair[total]
+        while 2 * a >= total and not (left[a] > 0 and left[total - a] > (a + a == total)):
+            a -= 1
+        self.pair[total] = a
+        while 2 * a >= total > a:
+            if self._free(a, own, 1 + (a + a == total)) and self._free(total - a, own):
+                return a, total - a
+            a -= 1
+        return None
+
+    def three(self, total: int, own: dict[int, int]) -> tuple[int, int, int] | None:
+        """A triple of this sum, first members from the largest down."""
+        left, a = self.left, self.triple[total]
+        while 3 * a >= total and not (left[a] > 0 and self.two(total - a, {})):
+            a -= 1
+        self.triple[total] = a
+        while 3 * a >= total > a > 0:
+            if self._free(a, own) and (rest := self.two(total - a, own | {a: own.get(a, 0) + 1})):
+                return a, *rest
+            a -= 1
+        return None
+
+    def exact(self, gap: int, own: dict[int, int]) -> tuple[int, ...] | None:
+        """One, two or three lengths that fill the gap exactly."""
+        return (gap,) if self._free(gap, own) else self.two(gap, own) or self.three(gap, own)
+
+    def fit(self, gap: int, own: dict[int, int]) -> int:
+        """The longest that fits, 0 for none."""
+        return next((x for x in range(gap, 0, -1) if self._free(x, own)), 0)
+
+
 def plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Patterns of lengths and how many sequences are filled by each, for counts of pieces by length.
 
@@ -130,51 +201,20 @@ def plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]
     the gap again. A pattern is used as often as its lengths last, so the work depends on the
     number of distinct lengths, not of pieces.
     """
-    left = counts.astype(np.int64).copy()
+    index = Complements(counts.astype(np.int64))
     runs: list[tuple[tuple[int, ...], int]] = []
-    have = sum(1 << int(x) for x in np.flatnonzero(left))  # bit x: length x is available
-    sums: int | None = None
-
-    def exact(gap: int, own: dict[int, int]) -> tuple[int, ...] | None:
-        nonlocal sums
-        free = lambda x, n=1: left[x] - own.get(x, 0) >= n
-        if free(gap):
-            return (gap,)
-        if sums is None:  # bit s: two available lengths add up to s
-            sums, limit = 0, (1 << (capacity + 1)) - 1
-            for x in np.flatnonzero(left[: capacity // 2 + 1]):
-                sums |= have << int(x) & limit
-        if sums >> gap & 1:
-            for a in range(gap - 1, (gap - 1) // 2, -1):
-                if have >> a & 1 and free(a) and free(gap - a, 1 + (a == gap - a)):
-                    return a, gap - a
-        for a in range(gap - 2, (gap - 1) // 3, -1):
-            if have >> a & 1 and sums >> (gap - a) & 1 and free(a):
-                more = own | {a: own.get(a, 0) + 1}
-                for b in range(min(a, gap - a - 1), (gap - a - 1) // 2, -1):
-                    c = gap - a - b
-                    if have >> b & 1 and left[b] - more.get(b, 0) >= 1 + (b == c) and left[c] - more.get(c, 0) >= 1 + (b == c):
-                        return a, b, c
-        return None
-
     for longest in range(capacity, 0, -1):
-        while left[longest] > 0:
+        while index.left[longest] > 0:
             parts, gap = [longest], capacity - longest
             while gap > 0:
                 own = {x: parts.count(x) for x in parts}
-                if found := exact(gap, own):
-                    parts += found
-                    break
-                fit = next((x for x in range(gap, 0, -1) if have >> x & 1 and left[x] > own.get(x, 0)), 0)
-                if not fit:
+                found = index.exact(gap, own) or ((fit,) if (fit := index.fit(gap, own)) else ())
+                if not found:
                     break
-                parts.append(fit)
-                gap -= fit
-            times = min(int(left[x]) // parts.count(x) for x in set(parts))
-            for x in parts:
-                left[x] -= times
-                if not left[x] and have >> x & 1:
-                    have, sums = have ^ 1 << x, None
+                parts += found
+                gap -= sum(found)
+            times = min(index.left[x] // parts.count(x) for x in set(parts))
+            index.take(tuple(parts), times)
             runs.append((tuple(parts), times))
     return runs
 

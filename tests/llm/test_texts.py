@@ -389,9 +389,10 @@ def test_packing(odd, docs, nothing):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    for df in (odd.dropDuplicates(["doc_id"]), docs):
+    special = odd.select("doc_id", "text").limit(0).unionByName(odd.sparkSession.createDataFrame([(1, "<|endoftext|> hi"), (2, "a<|endoftext|><|endoftext|>b  c"), (3, "a " * 5000)], "doc_id long, text string"))
+    for df in (odd, docs, special):  # with repeated rows
         ids = {i: tok.encode(t or "", add_special_tokens=False).ids + [0] for i, t in texts(df).items()}
+        copies = Counter(r.doc_id for r in df.select("doc_id").collect())
         rows = packing.pack(df, path).collect()
         placed, covered = defaultdict(list), Counter()
         for r in rows:
@@ -399,14 +400,14 @@ def test_packing(odd, docs, nothing):
             assert len(part) == r.length <= 2048 and r.ids_crc32 == zlib.crc32(np.array(part, "<u4").tobytes())
             placed[r.sequence_id].append((r.offset, r.length))
             covered[r.doc_id] += r.length
-        assert covered == {i: len(x) for i, x in ids.items()}
+        assert covered == {i: len(x) * copies[i] for i, x in ids.items()}
         for own in placed.values():
             at = 0
             for offset, length in sorted(own):
                 assert offset == at
                 at += length
             assert at <= 2048
-        assert len(placed) <= 1.02 * sum(map(len, ids.values())) / 2048 + 2
+        assert len(placed) <= 1.02 * sum(covered.values()) / 2048 + 2
     assert packing.pack(nothing, path).count() == 0
 
 
@@ -417,13 +418,31 @@ def test_words_the_tokenizer_cuts_oddly(spark):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     odd = ["", " ", "  ", " a", "a  b", "a \n b\n\n c", "x  y  z", "<|endoftext|> hi", "é😀 don't I'll  ", "\t\ta b", "a　 b  c", " \x1c a \x85b", "nl\nword  \n", "a\u00a0 b \u2003c"]
     flat, counts = packing.encoder(path).encode(pa.array(odd))
     for t, got in zip(odd, np.split(flat, np.cumsum(counts)[:-1])):
         assert got.tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_exact_complements_are_found_whenever_they_exist():
+    rnd = np.random.default_rng(4)
+    for _ in range(60):
+        cap = int(rnd.integers(3, 25))
+        left = np.zeros(cap + 1, np.int64)
+        left[1:] = rnd.integers(0, 3, cap) * (rnd.random(cap) < 0.5)
+        index = packing.Complements(left)
+        for _ in range(12):
+            gap = int(rnd.integers(1, cap + 1))
+            own = {x: 1 for x in rnd.integers(1, cap + 1, 2).tolist() if index.left[x] > 0}
+            have = [x for x in range(1, cap + 1) for _ in range(max(0, index.left[x] - own.get(x, 0)))]
+            some = any(sum(c) == gap for k in (1, 2, 3) for c in itertools.combinations(have, k))
+            found = index.exact(gap, own)
+            assert bool(found) == some
+            if found:
+                assert sum(found) == gap and all(found.count(x) <= index.left[x] - own.get(x, 0) for x in found)
+                index.take(found, 1)
+
+
 def test_plan_uses_every_piece_once():
     rnd = np.random.default_rng(1)
     for _ in range(20):
