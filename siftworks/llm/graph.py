@@ -5,29 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import hub_join
 from .staging import stage
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _with_least(e: DataFrame, total: int) -> DataFrame:
+    """The links (u, v) and m, the smallest neighbour of u; a hub's links don't meet in one task."""
+    least = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    return hub_join(e, least, ["u"], "n", total)
+
+
+def _large_star(e: DataFrame, total: int) -> DataFrame:
     """Every node's larger neighbours are linked to the smallest of its closed neighbourhood."""
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_least(both, 2 * total).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, total: int) -> DataFrame:
     """Every node and its smaller neighbours are linked to the smallest of them."""
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
     ends = F.explode(F.array("u", "v")).alias("n")
-    return e.join(least, "u").select(ends, "m").where("n <> m").select(F.col("n").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_least(e, total).select(ends, "m").where("n <> m").select(F.col("n").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """``links`` (a, b) of long ids -> (node, component): the smallest id reachable from each linked node.
 
     Large-star/small-star rounds until the links are a set of stars. Every round is a
-    grouped minimum with partial aggregation and two equi-joins, staged in the shared
-    folder; the driver sees a count and a checksum. Self-links, repeated links and
+    grouped minimum with partial aggregation and two equi-joins that spread hubs, staged in
+    the shared folder; the driver sees a count and a checksum. Self-links, repeated links and
     nulls are ignored; nodes without links are not returned, nor are the components'
     own smallest nodes left out.
     """
@@ -39,5 +44,5 @@ def components(links: DataFrame) -> DataFrame:
         if now == seen or not now[0]:
             break
         seen = now
-        e = stage(_small_star(_large_star(e)), "stars")
+        e = stage(_small_star(_large_star(e, now[0]), 2 * now[0]), "stars")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select("v", "v").distinct())

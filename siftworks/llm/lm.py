@@ -37,7 +37,7 @@ TABLES = [(level, k) for level in range(LEVELS) for k in FEATURES[level]]
 #: Rows of a feature's table are as many as a power of two that grows with the corpus, within these.
 LEAST_ROWS, MOST_ROWS = 1 << 12, 1 << 15
 #: Bytes of text for each row, in a shard, and in a part of it that is worked on together.
-ROW_BYTES, SHARD, PART = 64, 64_000_000, 6_000_000
+ROW_BYTES, SHARD, PART = 64, 48_000_000, 4_000_000
 #: Averaging rounds, tokens in a gradient step, its rate.
 ROUNDS, STEP, RATE = 2, 8192, 0.4
 END = xxhash.xxh64_intdigest(b"\n")
@@ -219,21 +219,24 @@ class _Shard:
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _CODED_ARROW)], schema=_CODED_ARROW)
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch, sorted by shard, in pieces of one shard."""
+    key = batch.column("shard").to_numpy()
+    edges = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+    yield from (batch.slice(lo, hi - lo) for lo, hi in zip(edges, edges[1:]) if hi > lo)
+
+
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each shard of (shard, doc_id, held_out, text), whose rows come together."""
     at, own = None, _Shard()
-    for batch in batches:
-        key = batch.column("shard").to_numpy()
-        edges = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
-        for lo, hi in zip(edges, edges[1:]):
-            if hi == lo:
-                continue
-            if key[lo] != at:
-                if at is not None:
-                    yield own.row(at)
-                at, own = int(key[lo]), _Shard()
-            for b in slices(batch.slice(lo, hi - lo), PART):
-                own.add(b)
+    for run in (run for b in batches for run in _runs(b)):
+        key = run.column("shard")[0].as_py()
+        if key != at:
+            if at is not None:
+                yield own.row(at)
+            at, own = key, _Shard()
+        for b in slices(run, PART):
+            own.add(b)
     if at is not None:
         yield own.row(at)
 
@@ -292,25 +295,36 @@ def score(docs: DataFrame, test: Column | None = None) -> DataFrame:
     bias = biases(total + 1)
     w, squares = _train(coded, rows, bias)
 
-    def judge(key: tuple[pa.Scalar, ...], texts: pa.Table, known: pa.Table) -> pa.Table:
-        model, out = Model(rows, bias, w, squares), []
-        b = texts.to_pydict()
-        for i in range(texts.num_rows):
-            hashes = np.frombuffer(b["hashes"][i], np.uint64)
-            n = np.zeros(len(hashes), np.int64)
-            n[known.column("i").to_numpy()] = known.column("c").to_numpy()
-            up = np.log10(n + 1.0)
-            share = up - within[cell_of(hashes)]
-            for code, h, ends, own in _parts(b, i, hashes):
-                first = np.concatenate([[0], ends[:-1]])
-                sums = lambda x: np.add.reduceat(x, first)
-                size = ends - first
-                base, known_ = sums(up[code]) - size * below, sums((n > 0).astype(np.int64)[code])
-                out.append(pa.table({"doc_id": pa.array(b["doc_ids"][i][own], pa.int64()), "held_out": pa.array(b["held"][i][own], pa.bool_()), "n_tokens": size, "n_known": known_, "base_score": base, "score": sums(model.log_probs(h, _starts(ends)) + share[code])}))
-        return pa.concat_tables(out) if out else pa.table({k: pa.array([], v) for k, v in zip(("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"), (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))})
-
-    texts = coded.drop("n")
-    scored = texts.groupBy("shard").cogroup(counts.select("shard", "i", "c").groupBy("shard")).applyInArrow(judge, SCORES)
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A shard's counts come first, then its texts."""
+        model, n = Model(rows, bias, w, squares), np.zeros(0, np.int64)
+        for batch in (run for b in batches for run in _runs(b)):
+            counted = batch.filter(pc.is_valid(batch.column("i")))
+            if counted.num_rows:
+                at = counted.column("i").to_numpy()
+                if at.max() >= len(n):
+                    n = np.concatenate([n, np.zeros(max(int(at.max()) + 1 - len(n), len(n)), np.int64)])
+                n[at] = counted.column("c").to_numpy()
+            texts = batch.filter(pc.is_null(batch.column("i")))
+            for k in range(texts.num_rows):
+                b = texts.slice(k, 1).to_pydict()
+                hashes = np.frombuffer(b["hashes"][0], np.uint64)
+                n = n[: len(hashes)]
+                up, known = np.log10(n + 1.0), (n > 0).astype(np.int64)
+                share = up - within[cell_of(hashes)]
+                for code, h, ends, own in _parts(b, 0, hashes):
+                    first = np.concatenate([[0], ends[:-1]])
+                    sums = lambda x: np.add.reduceat(x, first)
+                    size = ends - first
+                    cols = [pa.array(b["doc_ids"][0][own], pa.int64()), pa.array(b["held"][0][own], pa.bool_()), pa.array(size), pa.array(sums(known[code])), pa.array(sums(up[code]) - size * below), pa.array(sums(model.log_probs(h, _starts(ends)) + share[code]))]
+                    yield pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in SCORES.split(", ")])
+                n = np.zeros(0, np.int64)
+
+    fields = ["doc_ids", "held", "ends", "codes", "hashes"]
+    none = [F.lit(None).cast(dict(coded.dtypes)[c]).alias(c) for c in fields]
+    both = counts.select("shard", "i", "c", *none).union(coded.select("shard", F.lit(None).cast("int"), F.lit(None).cast("long"), *fields))
+    both = both.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", F.asc_nulls_last("i"))
+    scored = both.mapInArrow(tidied(judge), SCORES)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(all_tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 

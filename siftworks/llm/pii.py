@@ -25,8 +25,8 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9]
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 TEL = r"(?<![0-9+(-])(?:\([0-9]{3}\)\x20|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9-])"
 
-#: Matches whose positions are summed together; keeps a text with very many matches linear.
-BLOCK = 256
+#: Matches whose positions are summed together, and characters of a text that are cut together: a text with very many matches takes time in proportion.
+BLOCK, CUT = 256, 1024
 #: Characters before a span in which context words count.
 NEAR = 40
 
@@ -110,7 +110,7 @@ def find_spans(docs: DataFrame, threshold: float = 0.6, kinds: tuple[Kind, ...]
     Positions are code points, end exclusive. Each kind takes leftmost matches that don't
     overlap; a match that its check refuses is dropped and not searched again. Base kinds stay
     whatever their score; others stay from ``threshold``, which context words in the NEAR
-    characters before a span help to reach. Null and empty texts have no spans; repeated rows
+    characters before a span (as far back as the kind's second match before it) help to reach. Null and empty texts have no spans; repeated rows
     are treated alike; columns of ``docs`` pass through, and an input column named ``spans``
     is replaced. Columns named ``_pii_*`` are the operator's own.
     """
@@ -124,11 +124,17 @@ def find_spans(docs: DataFrame, threshold: float = 0.6, kinds: tuple[Kind, ...]
     df = df.withColumns({f"_pii_s_{k.name}": F.when(some[k.name], _starts(F.col(f"_pii_p_{k.name}"), F.col(f"_pii_m_{k.name}"))) for k in kinds})
 
     def spans(k: Kind) -> Column:
-        found = F.zip_with(f"_pii_s_{k.name}", f"_pii_m_{k.name}", lambda s, m: F.struct(F.lit(k.name).alias("kind"), s.alias("start"), (s + F.length(m)).alias("end"), m.alias("value")))
-        found = F.filter(found, lambda x: k.confirmed(x["value"]))
-        before = lambda x: F.lower(F.substring(t, F.greatest(x["start"] - NEAR, F.lit(0)) + 1, F.least(x["start"], F.lit(NEAR))))
-        scored = F.transform(found, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"), (F.lit(k.score) + F.when(before(x).rlike(k.context), 0.3).otherwise(0.0)).alias("score")))
-        kept = scored if k.base else F.filter(scored, lambda x: x["score"] >= threshold)
+        at, match, piece = (F.col(f"_pii_{c}_{k.name}") for c in "smp")
+        near = lambda c: F.right(c, F.lit(NEAR))
+
+        def one(i: Column) -> Column:
+            before = near(F.concat(F.when(i > 0, F.concat(near(F.get(piece, i - 1)), near(F.get(match, i - 1)))).otherwise(""), near(F.get(piece, i))))
+            value = F.get(match, i)
+            fields = {"kind": F.lit(k.name), "start": F.get(at, i), "end": F.get(at, i) + F.length(value), "value": value}
+            return F.struct(*(v.alias(c) for c, v in fields.items()), (F.lit(k.score) + F.when(F.lower(before).rlike(k.context), 0.3).otherwise(0.0)).alias("score"))
+
+        found = F.filter(F.transform(F.sequence(F.lit(0), F.size(match) - 1), one), lambda x: k.confirmed(x["value"]))
+        kept = found if k.base else F.filter(found, lambda x: x["score"] >= threshold)
         return F.when(some[k.name], kept).otherwise(F.array().cast("array<struct<kind:string,start:int,end:int,value:string,score:double>>"))
 
     df = df.withColumns({f"_pii_x_{k.name}": spans(k) for k in kinds})
@@ -141,21 +147,51 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
 
-def mask_text(docs: DataFrame) -> DataFrame:
-    """Replaces every span of ``docs`` (with text, spans) by ``<kind>``; spans that overlap become one, named after the first."""
-    Run = "array<struct<kind:string,start:int,end:int>>"
-
-    def join(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        longer = F.struct(last["kind"], last["start"], F.greatest(last["end"], x["end"]))
-        own = F.array(F.struct(x["kind"], x["start"], x["end"])).cast(Run)
-        return F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] > x["start"]), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(longer).cast(Run))).otherwise(F.concat(acc, own))
+def _with_runs(df: DataFrame, some: Column) -> DataFrame:
+    """``df`` plus _pii_r: the spans in order as runs (kind of the first, start, end) that don't overlap.
 
+    Each step is a column of its own, so that no step is computed again for each element of the next.
+    """
+    Span = "struct<start:int,end:int,kind:string,far:int>"
+    c = lambda k: F.col(f"_pii_{k}")
     by_start = F.array_sort(F.transform("spans", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
-    runs = F.aggregate(by_start, F.array().cast(Run), join)
-    df = docs.withColumn("_pii_r", F.when(F.size("spans") > 0, runs))
-    r, n = F.col("_pii_r"), F.size("_pii_r")
-    from_ = lambda i: F.when(i > 0, F.try_element_at(r, i)["end"]).otherwise(0)
-    to = lambda i: F.when(i < n, F.try_element_at(r, i + 1)["start"]).otherwise(F.length("text"))
-    pieces = F.transform(F.sequence(F.lit(0), n), lambda i: F.concat(F.substring(F.col("text"), from_(i) + 1, to(i) - from_(i)), F.when(i < n, F.concat(F.lit("<"), F.try_element_at(r, i + 1)["kind"], F.lit(">"))).otherwise("")))
-    return df.withColumn("text", F.when(F.col("_pii_r").isNotNull(), F.array_join(pieces, "")).otherwise(F.col("text"))).drop("_pii_r")
+    df = df.withColumn("_pii_o", F.when(some, by_start))
+    df = df.withColumn("_pii_k", F.transform(F.sequence(F.lit(0), F.floor((F.size(c("o")) - 1) / BLOCK).cast("int")), lambda k: F.slice(c("o"), k * BLOCK + 1, F.lit(BLOCK))))
+    df = df.withColumn("_pii_e", F.transform(c("k"), lambda b: F.array_max(F.transform(b, lambda x: x["end"]))))
+    df = df.withColumn("_pii_f", F.transform(c("k"), lambda b, k: F.coalesce(F.array_max(F.slice(c("e"), F.lit(1), k)), F.lit(0))))
+
+    def walk(block: Column, far: Column) -> Column:
+        """Each span with the farthest end before it."""
+        begin = F.struct(far.alias("far"), F.array().cast(f"array<{Span}>").alias("out"))
+        return F.aggregate(block, begin, lambda acc, x: F.struct(F.greatest(acc["far"], x["end"]).alias("far"), F.concat(acc["out"], F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), acc["far"].alias("far")))).alias("out")))["out"]
+
+    df = df.withColumn("_pii_h", F.filter(F.flatten(F.zip_with(c("k"), c("f"), walk)), lambda x: x["start"] >= x["far"]))
+    df = df.withColumn("_pii_l", F.array_max(c("e")))
+    run = F.transform(c("h"), lambda x, i: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), F.coalesce(F.get(c("h"), i + 1)["far"], c("l")).alias("end")))
+    return df.withColumn("_pii_r", run)
+
+
+def mask_text(docs: DataFrame) -> DataFrame:
+    """Replaces every span of ``docs`` (with text, spans) by ``<kind>``; spans that overlap become one, named after the first.
+
+    Texts without spans, null ones among them, stay as they are; other columns pass through.
+    """
+    some = F.size("spans") > 0
+    df = _with_runs(docs, some)
+    df = df.withColumn("_pii_b", F.when(some, F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % CUT), F.lit(0))))
+    r, n, blocks = F.col("_pii_r"), F.size("_pii_r"), F.col("_pii_b")
+
+    def between(a: Column, b: Column) -> Column:
+        """Characters a to b of the text, cut out of its blocks."""
+        first, last = F.floor(a / CUT).cast("int"), F.floor(b / CUT).cast("int")
+        inner = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        head = F.substring(F.coalesce(F.get(blocks, first), F.lit("")), a % CUT + 1, F.lit(CUT))
+        tail = F.substring(F.coalesce(F.get(blocks, last), F.lit("")), F.lit(1), b % CUT)
+        return F.when(first == last, F.substring(F.coalesce(F.get(blocks, first), F.lit("")), a % CUT + 1, b - a)).otherwise(F.concat(head, inner, tail))
+
+    def piece(i: Column) -> Column:
+        begin = F.when(i > 0, F.get(r, i - 1)["end"]).otherwise(0)
+        end = F.when(i < n, F.get(r, i)["start"]).otherwise(F.length("text"))
+        return F.concat(between(begin, end), F.when(i < n, F.concat(F.lit("<"), F.get(r, i)["kind"], F.lit(">"))).otherwise(""))
+
+    return df.withColumn("text", F.when(some, F.array_join(F.transform(F.sequence(F.lit(0), n), piece), "")).otherwise(F.col("text"))).drop(*(f"_pii_{k}" for k in "okefhlrb"))

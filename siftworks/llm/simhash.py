@@ -8,11 +8,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import by_rows, tidied
 from .graph import components
+from .joins import hub_join
 from .staging import stage
 
 #: Shingles hashed at a time; bounds the memory of one very long document.
@@ -118,10 +119,10 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, hot: int
     doc_id gets its fingerprint's component; an empty table gives an empty result.
     """
     fps = stage(fingerprints(docs, shingle), "fingerprints")
-    codes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "codes")
-    found = components(links(codes, radius, hot))
-    of_code = codes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return fps.join(of_code, "fp", "left").select("doc_id", "fp", "component_id")
+    codes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("rep is not null"), "codes")
+    found = components(links(codes.drop("n"), radius, hot))
+    of_code = codes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("fp", "n", F.coalesce("component", "rep").alias("component_id"))
+    return hub_join(fps, of_code, ["fp"], "n", fps.count(), "left").select("doc_id", "fp", "component_id")
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
@@ -189,11 +190,11 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), n, p], ["doc_id", "id", "more", "n", "p"])
 
     seen = stage(kept.mapInArrow(tidied(scan), "doc_id long, id long, more long, n long, p array<long>"), "shingles")
-    codes = stage(seen.where("doc_id is not null").groupBy("id", "more").agg(F.min("doc_id").alias("rep")), "codes")
-    places = seen.where("doc_id is not null").select("id", "n", F.posexplode("p").alias("i", "w"))
-    bucket = Window.partitionBy("w")
-    shared = places.withColumns({"least": F.min("id").over(bucket), "most": F.max("id").over(bucket)}).where("least <> most")
-    members = stage(shared.select("w", "id", "n", "i").distinct(), "members")
+    codes = stage(seen.where("doc_id is not null").groupBy("id", "more").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "codes")
+    places = seen.where("doc_id is not null").groupBy("id").agg(F.first("n").alias("n"), F.first("p").alias("p")).select("id", "n", F.posexplode("p").alias("i", "w"))
+    buckets = places.groupBy("w").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("c")).where("least <> most").select("w", "c")
+    members = stage(hub_join(places, buckets, ["w"], "c", seen.agg(F.sum(F.size("p"))).first()[0] or 0), "members")
+    n_members = members.count()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_rows(batches):
@@ -223,7 +224,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
     for turn in range(TURNS + 1):
         now = members.withColumn("part", F.col("id")) if groups is None else members.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
         open_ = now.groupBy("w").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), *(F.col(c) for c in ("id", "n", "i", "part")))).alias("y"), F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("c")).where("p <> q").select("w", "y", "c")
-        now = now.join(open_, "w").select("w", "c", code.alias("x"), "y")
+        now = hub_join(now, open_.withColumn("rows", F.col("c")), ["w"], "rows", n_members).select("w", "c", code.alias("x"), "y")
         if turn < TURNS:
             pairs = now.where(size)
         else:
@@ -235,7 +236,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
         found = confirmed(pairs.where("x.part <> y.part"))
         links = found if links is None else links.union(found)
         groups = components(links)
-    of_code = stage(codes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("id", "more", "rep", F.coalesce("component", "id").alias("part")), "parts")
+    of_code = stage(codes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("id", "more", "rep", "rows", F.coalesce("component", "id").alias("part")), "parts")
     least = of_code.groupBy("part").agg(F.min("rep").alias("component_id"))
-    of_code = of_code.join(least, "part").select("id", "more", "component_id")
-    return seen.select("doc_id", "id", "more").join(of_code, ["id", "more"], "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    of_code = of_code.join(least, "part").select("id", "more", "rows", "component_id")
+    return hub_join(seen.select("doc_id", "id", "more"), of_code, ["id", "more"], "rows", seen.count(), "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

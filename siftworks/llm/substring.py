@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .batches import by_rows, tidied
+from .joins import hub_join
 from .staging import stage
 
 WINDOW, GRAM = 50, 10
@@ -35,8 +36,8 @@ SPAN = WINDOW - GRAM
 HALF = SPAN // 2
 #: Occurrences of a prefix that one tree takes, and rows that are sorted together.
 GROUP, SORTED = 20_000, 20_000
-#: Bytes of a word's hash that the trees compare.
-WIDE = 6
+#: Bytes of a word's hash that the trees compare: all.
+WIDE = 8
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _ODD = _rng.integers(0, 1 << 63, (3, WINDOW), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -230,24 +231,26 @@ def spans(docs: DataFrame) -> DataFrame:
     """
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("rid"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     seen = stage(kept.select("doc_id", "rid", "text").mapInArrow(tidied(_scan), _SEEN).where(f"n_words >= {WINDOW}"), "seen")
-    least = seen.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
+    least = seen.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
     copy = F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))
-    marked = seen.select("doc_id", "rid", "key_a", "key_b", "n_words").join(least, ["key_a", "key_b"], "left").where(copy)
+    n_seen, n_anchors = seen.agg(F.count("*"), F.coalesce(F.sum(F.size("anchors")), F.lit(0))).first()
+    marked = hub_join(seen.select("doc_id", "rid", "key_a", "key_b", "n_words"), least, ["key_a", "key_b"], "n", n_seen).where(copy)
     copies = stage(marked.select("doc_id", "rid", "n_words").distinct(), "copies")
     firsts = seen.join(copies, ["doc_id", "rid"], "left_anti").select("doc_id", "rid", F.explode(F.arrays_zip("anchors", "times")).alias("a"))
     firsts = firsts.select("doc_id", "rid", F.col("a.anchors").alias("h"), F.col("a.times").alias("times"))
-    again = firsts.groupBy("h").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.sum("times").alias("n")).where("x < y")
-    hits = firsts.join(again.select("h", (F.col("n") <= GROUP).alias("few")), "h").groupBy("doc_id", "rid").agg(F.collect_set(F.when(F.col("few"), F.col("h"))).alias("few"), F.collect_set(F.when(~F.col("few"), F.col("h"))).alias("many"))
+    again = firsts.groupBy("h").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.sum("times").alias("n"), F.count("*").alias("rows")).where("x < y")
+    hits = hub_join(firsts, again.select("h", (F.col("n") <= GROUP).alias("few"), "rows"), ["h"], "rows", n_anchors).groupBy("doc_id", "rid").agg(F.collect_set(F.when(F.col("few"), F.col("h"))).alias("few"), F.collect_set(F.when(~F.col("few"), F.col("h"))).alias("many"))
     found = kept.join(hits, ["doc_id", "rid"]).select("doc_id", "rid", "text", "few", "many").mapInArrow(tidied(_gather), _FOUND)
     found = stage(found, "suffixes")
     cols = ["key_a", "doc_id", "rid", "pos", "lo", "hi", "left", "right"]
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     large = stage(found.where("whole").groupBy("key_a").count().where(F.col("count") > GROUP).select("key_a"), "large")
-    some = found.join(large, "key_a", "left_anti").select(*cols)
+    some = found.join(F.broadcast(large), "key_a", "left_anti").select(*cols)
     in_trees = some.repartition(n, "key_a").sortWithinPartitions("key_a").mapInArrow(tidied(_trees), "doc_id long, rid long, start long, end long")
-    deep = found.where("whole").join(large, "key_a").select(*cols).mapInArrow(tidied(_deepen), "key_a long, key_b long, doc_id long, rid long, start long, end long")
-    smallest = deep.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("key_a", "key_b", "x")
-    in_nodes = deep.join(smallest, ["key_a", "key_b"]).where("doc_id > x").select("doc_id", "rid", "start", "end")
+    deep = found.where("whole").join(F.broadcast(large), "key_a").select(*cols).mapInArrow(tidied(_deepen), "key_a long, key_b long, doc_id long, rid long, start long, end long")
+    deep = stage(deep, "windows")
+    smallest = deep.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.count("*").alias("n")).where("x < y").select("key_a", "key_b", "x", "n")
+    in_nodes = hub_join(deep, smallest, ["key_a", "key_b"], "n", deep.count()).where("doc_id > x").select("doc_id", "rid", "start", "end")
     return in_trees.union(in_nodes).union(copies.select("doc_id", "rid", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
 
 

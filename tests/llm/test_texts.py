@@ -79,6 +79,30 @@ def test_similar_groups(docs):
     assert missed <= 0.02 * len(d)
 
 
+def plain_mask(text, spans):
+    out, at, name, end = [], 0, None, 0
+    for x in sorted((x.start, x.end, x.kind) for x in spans):
+        if name is not None and x[0] < end:
+            end = max(end, x[1])
+            continue
+        if name is not None:
+            out.append(f"<{name}>")
+            at = end
+        out.append(text[at : x[0]])
+        name, end = x[2], x[1]
+    return text if name is None else "".join(out) + f"<{name}>" + text[end:]
+
+
+def test_mask(spark, odd, nothing):
+    rnd = random.Random(8)
+    parts = ["a@b.com", "+1 555 123 4567", "(555) 123-4567", "10.0.0.1", "4111 1111 1111 1111", "call", "é😀", "x" * 700, "\n", "GB82 WEST 1234 5698 7654 32"]
+    rows = [(i, " ".join(rnd.choice(parts) for _ in range(rnd.randint(0, 900 if i < 3 else 30))), "en", "s", 0, 1.0, 2, "k") for i in range(40)]
+    for df in (spark.createDataFrame(rows, odd.schema), odd, nothing):
+        found = pii.find_spans(df)
+        want = Counter((r.doc_id, plain_mask(r.text, r.spans) if r.text is not None else None) for r in found.collect())
+        assert Counter((r.doc_id, r.text) for r in pii.mask_text(found).collect()) == want
+
+
 def alike_groups(d):
     sets = {i: set(simhash.shingle_set(t, 5).tolist()) for i, t in d.items()}
     return groups(d, [(a, b) for a in d for b in d if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
