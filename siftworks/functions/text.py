@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import html
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -20,6 +20,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def truthy(c: Column) -> Column:
     """The string, or null where it is empty."""
     return F.nullif(c, F.lit(""))
@@ -93,14 +98,17 @@ def unescape_all(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
-#: Backslash escapes that URLs in scripts carry.
-URL_ESCAPES = ((r"&", "&"), (r"=", "="), (r"=", "="), (r"/", "/"), (r"/", "/"), (r"\/", "/"))
+#: Escaped UTF-16 code units: single ones, or a pair of surrogates; a lone surrogate is none.
+_UNIT = r"[0-9a-fA-F]"
+UTF16_ESCAPES = rf"(?:\\u(?![dD][89a-fA-F]){_UNIT}{{4}}|\\u[dD][89abAB]{_UNIT}{{2}}\\u[dD][c-fC-F]{_UNIT}{{2}})+"
 
 
 def unescape_backslashes(c: Column) -> Column:
-    for escape, char in URL_ESCAPES:
-        c = F.replace(c, F.lit(escape), F.lit(char))
-    return c
+    """Escapes of UTF-16 code units and of the slash, as scripts write them, decoded; others stay."""
+    units = F.transform(F.regexp_extract_all(c, F.lit(UTF16_ESCAPES), F.lit(0)), lambda r: F.decode(F.unhex(F.replace(r, F.lit(chr(92) + "u"), F.lit(""))), "UTF-16BE"))
+    rest = F.split(c, UTF16_ESCAPES, -1)
+    joined = F.concat(F.get(rest, 0), F.array_join(F.zip_with(units, F.slice(rest, F.lit(2), F.size(units)), lambda u, r: F.concat(u, r)), ""))
+    return F.replace(F.when(c.contains(chr(92) + "u"), joined).otherwise(c), F.lit(chr(92) + "/"), F.lit("/"))
 
 
 def entry_image(obj_url: Column, thumb_url: Column, middle_url: Column) -> Column:

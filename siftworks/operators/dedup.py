@@ -45,20 +45,31 @@ def without_seed_copies(items: DataFrame, seeds: DataFrame, group: str, item_id:
     return items.join(gone, item_id, "left_anti")
 
 
-def banded_pairs(codes: DataFrame, radius: int, id_col: str = "id", code: str = "code") -> DataFrame:
-    """Pairs (a, b, distance) of codes within ``radius`` bits: with radius + 1 bands, one of a pair's bands is equal.
+def representatives(codes: DataFrame, id_col: str = "id", code: str = "code") -> DataFrame:
+    """(id, representative): every item with the smallest id of its code."""
+    least = codes.groupBy(code).agg(F.min(id_col).alias("representative"))
+    return codes.select(id_col, code).join(least, code).select(id_col, "representative")
 
-    Equal codes are joined as one and expanded to their ids afterwards.
+
+def banded_pairs(codes: DataFrame, radius: int, id_col: str = "id", code: str = "code", block: int = 512) -> DataFrame:
+    """Pairs (a, b, distance) of different codes within ``radius`` bits, by the smallest ids of both: with radius + 1 bands, one of a pair's bands is equal.
+
+    A band's value that many codes share is split into squares of about ``block`` by
+    ``block`` codes, each its own group. Copies are not expanded: ``representatives`` tells
+    which items a code stands for.
     """
     bands = radius + 1
     edges = [64 * k // bands for k in range(bands + 1)]
     part = lambda lo, hi: F.shiftrightunsigned(code, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1))
-    own = codes.select(code).distinct()
-    keyed = own.select(code, F.posexplode(F.array(*(part(lo, hi) for lo, hi in zip(edges, edges[1:])))).alias("band", "value"))
-    other = keyed.withColumnRenamed(code, "other")
-    near = keyed.join(other, ["band", "value"]).where((F.col(code) < F.col("other")) & (hamming(F.col(code), F.col("other")) <= radius)).select(code, "other").distinct()
-    near = near.union(own.select(code, F.col(code).alias("other")))
-    a, b = codes.select(F.col(id_col).alias("a"), code), codes.select(F.col(id_col).alias("b"), F.col(code).alias("other"))
-    found = near.join(a, code).join(b, "other").withColumn("distance", hamming(F.col(code), F.col("other")))
-    ordered = found.where((F.col(code) != F.col("other")) | (F.col("a") < F.col("b")))
-    return ordered.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
+    own = codes.where(F.col(code).isNotNull()).groupBy(code).agg(F.min(id_col).alias("rep"))
+    keyed = own.select(code, "rep", F.posexplode(F.array(*(part(lo, hi) for lo, hi in zip(edges, edges[1:])))).alias("band", "value"))
+    sizes = keyed.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1").withColumn("last", F.ceil(F.col("n") / block).cast("int") - 1)
+    many = F.broadcast(sizes.where("last > 0"))  # at most bands * codes / block rows
+    single = keyed.join(many.select("band", "value"), ["band", "value"], "left_anti").select("band", "value", code, "rep", F.lit(0).alias("at"), F.lit(0).alias("last"))
+    split = keyed.join(many, ["band", "value"]).select("band", "value", code, "rep", F.pmod(F.xxhash64(code), F.col("last") + 1).cast("int").alias("at"), "last")
+    placed = single.union(split)
+    low = placed.select("band", "value", code, "rep", F.col("at").alias("x"), F.explode(F.sequence("at", "last")).alias("y"))
+    high = placed.select("band", "value", F.col(code).alias("other"), F.col("rep").alias("other_rep"), F.explode(F.sequence(F.lit(0), "at")).alias("x"), F.col("at").alias("y"))
+    once = (F.col("x") < F.col("y")) | (F.col(code) < F.col("other"))
+    near = low.join(high, ["band", "value", "x", "y"]).where(once & (F.col(code) != F.col("other")) & (hamming(F.col(code), F.col("other")) <= radius))
+    return near.select(F.least("rep", "other_rep").alias("a"), F.greatest("rep", "other_rep").alias("b"), hamming(F.col(code), F.col("other")).alias("distance")).distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,12 +11,28 @@ from ..functions.text import choose_sha1, truthy, url_key
 from .dedup import last_by_key
 
 
-def mode(name: str, first_entry: dict | None = None) -> str:
-    """``filtered`` or ``global``, by the file's name, else by the fields of its first entry."""
-    for kind in ("filtered", "global"):
-        if kind in name:
+#: File names of the two kinds of index, in the order in which they are looked for.
+NAMES = {"filtered": "_filtered_index.jsonl", "global": "_global_index.jsonl"}
+
+
+def mode(path: str, first_fields: Iterable[str] | None = None) -> str:
+    """``filtered`` or ``global``, by the file's own name, else by the first entry's fields: target before path."""
+    name = path.rstrip("/").rpartition("/")[2]
+    for kind, known in NAMES.items():
+        if name == known:
             return kind
-    return "filtered" if first_entry and "target" in first_entry and "path" not in first_entry else "global"
+    return "filtered" if "target" in set(first_fields or ()) else "global"
+
+
+def find_index(root: str, exists: Callable[[str], bool], explicit: str | None = None) -> str:
+    """The index of a folder: the given one, else the one that is there, else by the folder's name."""
+    if explicit:
+        return explicit
+    root = root.rstrip("/")
+    for name in NAMES.values():
+        if exists(f"{root}/{name}"):
+            return f"{root}/{name}"
+    return f"{root}/{NAMES['filtered' if 'filter' in root.rpartition('/')[2].lower() else 'global']}"
 
 
 def rebuild(images: DataFrame, previous: DataFrame, run_ts: Column) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 from ..functions import models, text, vectors, verdict
 from ..operators import dedup, filters, index, limits, scoring
 from ..session import table
-from ..sources import files
+from ..sources import download, files, pages, sinks
+from ..staging import shared_dir
 from ..streaming import ingest
+from . import stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -133,11 +136,12 @@ def query_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.explode(text.query_map(F.col("url"))).alias("key", "value"))
 
 
-@_query("SELECT page_id, lower(to_hex(page_id * 30)) AS gsm, 'https://search.invalid/s?' || 'word=' || replace(url_encode(url), '%20', '+') || '&pn=' || (page_id * 30) AS request FROM pages WHERE regexp_matches(url, '^[a-z]+://[a-z0-9./?=_-]*$')")
+@_query("""
+SELECT page_id, lower(to_hex(page_id * 30)) AS gsm, 'https://search.invalid/s?word=' || replace(replace(replace(url_encode(url), '%20', '+'), '%2A', '*'), '~', '%7E') || '&pn=' || (page_id * 30) AS request FROM pages""")
 def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form encoding keeps ``*`` and encodes ``~``; the SQL adapts its encoder."""
     i = (F.col("page_id") * 30).cast("long")
-    pages = table(spark, sf_dir, "pages").where(F.col("url").rlike("^[a-z]+://[a-z0-9./?=_-]*$"))
-    return pages.select("page_id", text.hex_offset(i).alias("gsm"), text.build_url("https://search.invalid/s", [("word", F.col("url")), ("pn", i.cast("string"))]).alias("request"))
+    return table(spark, sf_dir, "pages").select("page_id", text.hex_offset(i).alias("gsm"), text.build_url("https://search.invalid/s", [("word", F.col("url")), ("pn", i.cast("string"))]).alias("request"))
 
 
 @_query("""
@@ -154,12 +158,12 @@ def item_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("""
 WITH p AS (SELECT doc_id, source || '/' || CASE WHEN doc_id % 3 = 0 THEN upper(sha1(text)) ELSE 'img' || doc_id END || '.jpg' AS path, text FROM documents)
-SELECT doc_id, replace(path, 'src1/', '') AS relative, CASE WHEN doc_id % 5 = 0 THEN 'known' || doc_id WHEN doc_id % 3 = 0 THEN sha1(text) ELSE sha1(text) END AS sha1 FROM p WHERE starts_with(path, 'src1/')""")
+SELECT doc_id, CASE WHEN starts_with(path, 'src1/') THEN substr(path, 6) ELSE path END AS relative, CASE WHEN doc_id % 5 = 0 THEN 'known' || doc_id ELSE sha1(text) END AS sha1 FROM p""")
 def sha1_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("doc_id")
     path = F.concat("source", F.lit("/"), F.when(i % 3 == 0, F.upper(F.sha1("text"))).otherwise(F.concat(F.lit("img"), i)), F.lit(".jpg"))
     docs = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), F.when(i % 5 == 0, F.concat(F.lit("known"), i)).alias("known"), F.encode("text", "UTF-8").alias("content"))
-    return docs.where(F.col("path").startswith("src1/")).select("doc_id", text.relative_path(F.col("path"), "src1").alias("relative"), text.choose_sha1(F.col("known"), F.col("path"), F.col("content")).alias("sha1"))
+    return docs.select("doc_id", text.relative_path(F.col("path"), "src1").alias("relative"), text.choose_sha1(F.col("known"), F.col("path"), F.col("content")).alias("sha1"))
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,12 +243,17 @@ def seed_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.without_seed_copies(items, seeds, "label", "vec_id").select("vec_id", "label")
 
 
-@_query(_PLANTED + "SELECT x.vec_id AS a, y.vec_id AS b, CAST(bit_count(xor(x.code, y.code)) AS BIGINT) AS distance FROM i x JOIN i y ON x.vec_id < y.vec_id AND bit_count(xor(x.code, y.code)) <= 2")
+@_query(_PLANTED + ", r AS (SELECT code, min(vec_id) AS rep FROM i GROUP BY code) SELECT least(x.rep, y.rep) AS a, greatest(x.rep, y.rep) AS b, CAST(bit_count(xor(x.code, y.code)) AS BIGINT) AS distance FROM r x JOIN r y ON x.code < y.code AND bit_count(xor(x.code, y.code)) <= 2")
 def banded_hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, _ = _planted(spark, sf_dir)
     return dedup.banded_pairs(items, 2, "vec_id").withColumn("distance", F.col("distance").cast("long"))
 
 
+@_query(_PLANTED + "SELECT vec_id, min(vec_id) OVER (PARTITION BY code) AS representative FROM i")
+def code_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.representatives(_planted(spark, sf_dir)[0], "vec_id")
+
+
 @_query("SELECT doc_id FROM documents WHERE n_chars BETWEEN 400 AND 6000 AND length(text) BETWEEN 400 AND 6000 AND n_chars::DOUBLE / length(text) BETWEEN 0.4 AND 2.5")
 def size_aspect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where(filters.size_and_aspect(F.col("n_chars"), F.length("text"))).select("doc_id")
@@ -253,26 +262,53 @@ def size_aspect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 _VERDICT_JSON = """'{"decision": "' || CASE WHEN event_type = 'purchase' THEN ' KEEP ' ELSE event_type END || '", "score": ' || CAST(props->>'$.k' AS INT) / 50.0 || ', "reason": " ' || repeat(event_type, 40) || ' ", "room_tags": "A; b/' || event_type || '、b", "object_tags": ["X", "' || event_type || '", "x"]}'"""
 
 
-@_query(f"""
-WITH j AS (SELECT event_id, CAST({_VERDICT_JSON} AS JSON) AS v FROM events WHERE event_id % 10 <> 0)
-SELECT event_id, CASE WHEN lower(trim(v->>'$.decision')) IN ('keep', 'reject') THEN lower(trim(v->>'$.decision')) ELSE 'reject' END AS decision,
-  round(greatest(0.0, least(1.0, CAST(v->>'$.score' AS DOUBLE))), 9) AS score, substr(trim(v->>'$.reason'), 1, 160) AS reason,
-  'a,b,' || regexp_extract(v->>'$.room_tags', '/(.*)、', 1) AS room_tags, 'x,' || (v->>'$.object_tags[1]') AS object_tags FROM j""")
-def verdict_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _said(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict's JSON for each event, every tenth broken."""
     kind, k = F.col("event_type"), F.get_json_object("props", "$.k").cast("int") / 50.0
     said = F.when(kind == "purchase", " KEEP ").otherwise(kind)
-    json = F.to_json(F.struct(said.alias("decision"), k.alias("score"), F.concat(F.lit(" "), F.repeat(kind, F.lit(40)), F.lit(" ")).alias("reason"), F.concat(F.lit("A; b/"), kind, F.lit("、b")).alias("room_tags"), F.array(F.lit("X"), kind, F.lit("x")).alias("object_tags")))
-    json = F.when(F.col("event_id") % 10 == 0, "[no object").otherwise(json)
-    out = table(spark, sf_dir, "events").select("event_id", verdict.normalise(json).alias("v")).where("v.ok")
-    return out.select("event_id", "v.decision", F.round("v.score", 9).alias("score"), "v.reason", F.array_join("v.room_tags", ",").alias("room_tags"), F.array_join("v.object_tags", ",").alias("object_tags"))
+    json = F.to_json(F.struct(said.alias("decision"), k.alias("score"), F.concat(F.lit(" "), F.repeat(kind, F.lit(40)), F.lit(" ")).alias("reason"), F.concat(F.lit("A; b/"), kind, F.lit("、b")).alias("room_tags"), F.array(F.lit("X"), kind, F.lit("x")).alias("object_tags"), F.col("event_id").alias("own")))
+    return table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 10 == 0, "[no object").otherwise(json).alias("json"))
+
+
+_VERDICTS = f"""
+WITH j AS (SELECT event_id, event_id % 10 <> 0 AS ok, CAST({_VERDICT_JSON} AS JSON) AS v FROM events),
+n AS (SELECT event_id, ok, CASE WHEN lower(trim(v->>'$.decision')) IN ('keep', 'reject') THEN lower(trim(v->>'$.decision')) ELSE 'reject' END AS decision,
+  round(greatest(0.0, least(1.0, CAST(v->>'$.score' AS DOUBLE))), 9) AS score, substr(trim(v->>'$.reason'), 1, 160) AS reason,
+  'a,b,' || regexp_extract(v->>'$.room_tags', '/(.*)、', 1) AS room_tags, 'x,' || (v->>'$.object_tags[1]') AS object_tags FROM j) """
+
+
+@_query(_VERDICTS + "SELECT event_id, ok, CASE WHEN ok THEN decision END AS decision, CASE WHEN ok THEN score END AS score, CASE WHEN ok THEN reason END AS reason, CASE WHEN ok THEN room_tags END AS room_tags, CASE WHEN ok THEN object_tags END AS object_tags FROM n")
+def verdict_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _said(spark, sf_dir).select("event_id", verdict.normalise(F.col("json")).alias("v"))
+    return out.select("event_id", "v.ok", "v.decision", F.round("v.score", 9).alias("score"), "v.reason", F.array_join("v.room_tags", ",").alias("room_tags"), F.array_join("v.object_tags", ",").alias("object_tags"))
+
+
+@_query(_VERDICTS + "SELECT event_id, decision, room_tags, reason, CAST(event_id AS VARCHAR) AS own FROM n WHERE ok")
+def raw_response(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw object with its five fields replaced: those, and one that stays."""
+    raw = F.try_parse_json("raw")
+    get = lambda k: F.try_variant_get(raw, f"$.{k}", "string")
+    out = _said(spark, sf_dir).select("event_id", verdict.normalise(F.col("json"))["raw_response"].alias("raw")).where("raw is not null")
+    return out.select("event_id", get("decision").alias("decision"), F.array_join(F.try_variant_get(raw, "$.room_tags", "array<string>"), ",").alias("room_tags"), get("reason").alias("reason"), get("own").alias("own"))
+
+
+@_query("SELECT event_id, CASE WHEN event_id % 6 = 5 THEN NULL ELSE 'a' || event_id END AS said FROM events")
+def response_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers in each of the shapes in use; some have other outputs and blank parts before the text, some have none."""
+    i = F.col("event_id")
+    shapes = ('{"output":[{"type":"reasoning"},{"content":[{"text":" "},{"text":"@"},{"text":"z"}]}]}', '{"output":[{"content":[{"text":{"value":"@"}}]}],"output_text":"z"}', '{"output":[],"output_text":" @ "}', '{"message":{"content":"@"},"response":"z"}', '{"response":"@"}', '{"response":" "}')
+    said = F.replace(F.get(F.array(*map(F.lit, shapes)), (i % 6).cast("int")), F.lit("@"), F.concat(F.lit("a"), i))
+    return table(spark, sf_dir, "events").select("event_id", verdict.response_text(said).alias("said"))
 
 
 @_query("""
-WITH t AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(replace(left(text, 400), ' ', ';'), '[;,/、|｜\\n]+'), lambda x: lower(trim(x, ' \t\r'))), lambda x: x <> '') AS a FROM documents)
-SELECT doc_id, array_to_string(list_filter(a, lambda x, i: list_position(a, x) = i)[1:8], ',') AS tags FROM t""")
+WITH t AS (SELECT doc_id, regexp_split_to_array(replace(text, ' ', ';'), '[;,/、|｜\\n]+') AS a FROM documents), u AS (SELECT doc_id, unnest(a) AS x, generate_subscripts(a, 1) AS i FROM t),
+c AS (SELECT doc_id, lower(regexp_replace(x, '^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$', '', 'g')) AS x, i FROM u), f AS (SELECT doc_id, x, min(i) AS i FROM c WHERE x <> '' GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM f), g AS (SELECT doc_id, string_agg(x, ',' ORDER BY i) AS tags FROM r WHERE n <= 8 GROUP BY 1)
+SELECT doc_id, coalesce(tags, '') AS tags FROM documents LEFT JOIN g USING (doc_id)""")
 def tag_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of the first 400 characters as a tag string, as a verdict would hold it: the cut is part of the stand-in."""
-    words = F.replace(F.substring("text", 1, 400), F.lit(" "), F.lit(";"))
+    """Words of whole texts as a tag string, as a verdict would hold it; the first eight tags are the feature."""
+    words = F.replace("text", F.lit(" "), F.lit(";"))
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(verdict.tags_of_text(words, 8), ",").alias("tags"))
 
 
@@ -359,17 +395,24 @@ def last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.last_by_key(table(spark, sf_dir, "events").select("user_id", "event_id", "event_type"), "user_id", "event_id")
 
 
+def _failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").where("event_type = 'error'").select(F.col("user_id").alias("id"), F.col("props").alias("error"))
+
+
+@_query("SELECT user_id AS id, min(props) AS error FROM events WHERE event_type = 'error' GROUP BY 1")
+def error_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return limits.error_rows(_failed(spark, sf_dir))
+
+
 @_query("SELECT count(DISTINCT user_id) AS count, count(DISTINCT user_id) AS n_messages FROM events WHERE event_type = 'error'")
 def error_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failed = table(spark, sf_dir, "events").where("event_type = 'error'").select(F.col("user_id").alias("id"), F.col("props").alias("error"))
-    return limits.error_report(failed).select("count", F.size("errors").cast("long").alias("n_messages"))
+    return limits.error_count(_failed(spark, sf_dir))
 
 
 @_query("SELECT DISTINCT user_id, props FROM events")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a file stream, the first of each key kept by stream state, run to its end."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siftworks-")
-    folder = f"{where.rstrip('/')}/stream-{spark.range(1).select(F.uuid()).first()[0]}"
+    folder = _folder(spark, "stream")
     stream = ingest.file_stream(spark, sf_dir, table(spark, sf_dir, "events").schema, glob="events.parquet").select("user_id", "props")
     ingest.run_to_end(ingest.distinct_stream(stream, ["user_id", "props"]), f"{folder}/out", f"{folder}/state")
     return spark.read.parquet(f"{folder}/out")
@@ -390,6 +433,231 @@ def given_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("ordinal.part").cast("long").alias("part"), F.col("ordinal.at").alias("at"), "query")
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@_query("""
+SELECT page_id, 'http://img12.host.com/' || page_id || '.jpg' AS image, md5(url) AS token, CAST(5000 + page_id % 100 AS VARCHAR) AS carousel, CAST(page_id AS VARCHAR) AS sign,
+  CASE WHEN page_id % 2 = 0 THEN 'a&b=' || page_id ELSE '' END AS next FROM pages""")
+def page_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a result page's scripts tell: image, token, carousel, sign and ajax parameters, which scripts escape."""
+    i, slash = F.col("page_id"), chr(92)
+    ajax = F.when(i % 2 == 0, F.concat(F.lit(f'"https:{slash}/{slash}/h.com{slash}/ajax{slash}/similar?page=1{slash}u0026next=a%26b%3D'), i, F.lit('"'))).otherwise("")
+    page = F.concat(F.lit('<script>"token": "'), F.md5("url"), F.lit('", carousel: '), 5000 + i % 100, F.lit(' "image":"http://img12.host.com/'), i, F.lit('.jpg" '), ajax)
+    context = text.page_context(page, main_url=F.concat(F.lit("http://h/?sign="), i))
+    own = table(spark, sf_dir, "pages").select("page_id", context.alias("c"))
+    return own.select("page_id", "c.image", "c.token", "c.carousel", "c.sign", F.coalesce(F.col("c.ajax_params")["next"], F.lit("")).alias("next"))
+
+
+@_query("SELECT page_id, 'a&b=' || url || '/' || page_id || '\\x' AS plain FROM pages")
+def unescaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs with UTF-16 escapes decoded; other escapes stay."""
+    b = chr(92)
+    said = F.concat(F.lit(f"a{b}u0026b{b}u003D"), F.replace("url", F.lit("/"), F.lit(f"{b}/")), F.lit(f"{b}u002f"), F.col("page_id"), F.lit(f"{b}x"))
+    return table(spark, sf_dir, "pages").select("page_id", text.unescape_backslashes(said).alias("plain"))
+
+
+@_query("""
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://i/' || page_id WHEN 1 THEN 'http://t/' || page_id WHEN 2 THEN 'http://m/' || page_id || '?a=1&b' END AS image, page_id % 4 <> 3 AS filled FROM pages""")
+def entry_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image URLs of similar-search entries, and whether an entry has fields at all."""
+    i = F.col("page_id")
+    obj = F.when(i % 4 == 0, F.concat(F.lit("http://h/?imgurl=%2F%2Fi%2F"), i))
+    entry = F.to_json(F.struct(obj.alias("o"), F.when(i % 4 == 1, F.concat(F.lit("http://t/"), i)).alias("t"), F.when(i % 4 == 2, F.concat(F.lit("http://m/"), i, F.lit("?a=1&amp;b"))).alias("m")))
+    get = lambda k: F.get_json_object("entry", f"$.{k}")
+    return table(spark, sf_dir, "pages").select("page_id", entry.alias("entry")).select("page_id", text.entry_image(get("o"), get("t"), get("m")).alias("image"), filters.non_empty_entry(F.col("entry")).alias("filled"))
+
+
+@_query("SELECT event_id FROM events WHERE event_type IN ('click', 'view') AND event_id % 3 <> 0")
+def still_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "click", "Pic").when(F.col("event_type") == "view", "").otherwise(F.col("event_type"))
+    return table(spark, sf_dir, "events").where(filters.still_image(kind, F.col("event_id") % 3 == 0)).select("event_id")
+
+
+@_query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 <> 0")
+def query_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a query file without comments and blanks."""
+    line = F.when(F.col("c_custkey") % 6 == 0, F.concat(F.lit("#"), "c_name")).when(F.col("c_custkey") % 3 == 0, " ").otherwise(F.col("c_name"))
+    return table(spark, sf_dir, "customer").where(~filters.comment_or_blank(line)).select("c_custkey", "c_name")
+
+
+@_query("SELECT doc_id, CAST(octet_length(encode(text)) AS INT) AS width, '.txt' AS ending, 'TXT' AS format FROM documents WHERE doc_id % 7 <> 0")
+def normalised_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stand-in codec; what it refuses is not ok."""
+
+    def decode(content: bytes) -> tuple[bytes, str, int, int, str]:
+        if content == b"bad":
+            raise ValueError("no image")
+        return content, ".txt", len(content), 1, "TXT"
+
+    norm = models.normalise_image(decode)
+    content = F.when(F.col("doc_id") % 7 == 0, F.encode(F.lit("bad"), "UTF-8")).otherwise(F.encode("text", "UTF-8"))
+    out = table(spark, sf_dir, "documents").select("doc_id", norm(content).alias("x"))
+    return out.where("x.ok").select("doc_id", "x.width", "x.ending", "x.format")
+
+
+@_query("SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN sha1(text) END AS sha1, CASE WHEN doc_id % 7 = 0 THEN 'ValueError(''gone'')' END AS error FROM documents")
+def downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result or an error for each item; the service is a stand-in that echoes."""
+
+    def get(url: str) -> dict:
+        if url == "gone":
+            raise ValueError("gone")
+        return {"content": url.encode(), "status": 200}
+
+    items = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 7 == 0, "gone").otherwise(F.col("text")).alias("url"))
+    return download.download(items, get, wait=lambda s: None).select("doc_id", F.sha1("content").alias("sha1"), "error")
+
+
+@_query("SELECT doc_id, 'q' || doc_id AS sign, 'http://h/s?sign=q' || doc_id AS page_url FROM documents")
+def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("path"), F.encode(F.col("doc_id").cast("string"), "UTF-8").alias("content"))
+    out = download.upload(items, lambda content, name: '{"data":{"querySign":"q%s"}}' % content.decode())
+    return out.select("doc_id", text.upload_context(F.col("payload"), "http://h/s?sign={sign}").alias("c")).select("doc_id", "c.sign", "c.page_url")
+
+
+def _names(spark: SparkSession, sf_dir: str) -> list[str]:
+    return [r.n_name for r in table(spark, sf_dir, "nation").select("n_name").collect()]  # 25 at every size, the caller's list
+
+
+def _shelf(query: str, offset: int, size: int) -> dict:
+    """A stand-in service: a query has ten results for each letter of its name."""
+    return {"data": [{"objURL": f"http://h/{query}/{k}"} for k in range(offset, min(offset + size, 10 * len(query)))]}
+
+
+@_query("SELECT n_name AS query, CAST(k // 30 AS INT) AS page, CAST(k % 30 AS INT) AS position, 'http://h/' || n_name || '/' || k AS url FROM nation, range(0, 200) t(k) WHERE k < 10 * length(n_name)")
+def paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.keyword_urls(pages.read(spark, _shelf, _names(spark, sf_dir), "shelf"))
+
+
+@_query("""
+WITH e AS (SELECT n_name AS query, k, 'http://h/' || n_name || '/' || k AS url FROM nation, range(0, 200) t(k) WHERE k < 10 * length(n_name) AND k >= 2 * length(n_name)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY k) AS n FROM e) SELECT query, url, md5(url) AS url_md5 FROM r WHERE n <= 50""")
+def keyword_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New items of each query up to its limit, where the first ones are known already."""
+    names = _names(spark, sf_dir)
+    known = spark.createDataFrame([(q, k) for q in names for k in range(2 * len(q))], "q string, k int").select(F.md5(F.concat(F.lit("http://h/"), "q", F.lit("/"), F.col("k"))).alias("url_md5"))
+    return stages.keyword_crawl(spark, _shelf, names, known, limit_per_query=50).select("query", "url", "url_md5")
+
+
+@_query("""
+WITH e AS (SELECT n_name AS seed, k, bit_count(k) AS distance FROM nation, range(0, 60) t(k) WHERE k < 5 * length(n_name)) SELECT seed, 'http://i/' || seed || '/' || k AS url, distance FROM e WHERE distance > 1 AND distance <= 4""")
+def reverse_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items like each seed by their code's distance, which excludes copies."""
+
+    def fetch(seed: str, offset: int, size: int) -> dict:
+        return {"data": [{"thumbUrl": f"http://i/{seed}/{k}"} for k in range(offset, min(offset + size, 5 * len(seed)))]}
+
+    seeds = table(spark, sf_dir, "nation").select(F.col("n_name").alias("seed"), F.lit(0).cast("long").alias("code"))
+    coded = lambda df: df.withColumns({"content": F.encode("url", "UTF-8"), "code": F.regexp_extract("url", "([0-9]+)$", 1).cast("long")})
+    out = stages.reverse_search(spark, fetch, seeds, dhash_threshold=4, dhash_min_distance=1, download=coded)
+    return out.select("seed", "url", F.col("distance").cast("int").alias("distance"))
+
+
+@_query(_COS + "SELECT vec_id, round(indoor, 6) AS indoor, CAST(len(list_filter(embedding, lambda x: x >= 0.15)) AS INT) AS object_count FROM s JOIN embeddings USING (vec_id) WHERE NOT (indoor < outdoor + 0.02) AND len(list_filter(embedding, lambda x: x >= 0.15)) >= 5")
+def prefilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole pre-filter; contents are the vectors' bytes and the stand-in models read them."""
+    import struct
+
+    unpack = lambda c: list(struct.unpack(f">{len(c) // 4}f", c))
+    vectors_ = _vectors(spark, sf_dir)
+    pack = F.udf(lambda v: struct.pack(f">{len(v)}f", *v), "binary")
+    items = vectors_.select(F.lpad(F.col("vec_id").cast("string"), 12, "0").alias("path"), pack("embedding").alias("content"))
+    names = F.array(*map(F.lit, scoring.PROMPTS))
+    prompts = vectors_.where("label < 5").groupBy("label").agg(F.min_by("embedding", "vec_id").alias("prompt_vector")).select(F.get(names, F.col("label")).alias("name"), "prompt_vector")
+    out = stages.prefilter(items, prompts, models.embed(lambda b: [unpack(c) for c in b]), models.detect(lambda b: [unpack(c) for c in b]), object_count_min=5, detector_threshold=0.15)
+    return out.select(F.col("path").cast("long").alias("vec_id"), F.round("indoor", 6).alias("indoor"), F.col("object_count").cast("int").alias("object_count"))
+
+
+@_query("SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'error' WHEN doc_id % 5 = 1 THEN 'reject' WHEN doc_id % 10 < 5 THEN 'keep' ELSE 'reject' END AS route FROM documents")
+def fine_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts, routes and errors of a stand-in judge."""
+
+    def model(content: bytes, prompt: str) -> str:
+        k = int(content)
+        if k % 5 == 0:
+            raise ValueError("no answer")
+        return json.dumps({"decision": "reject" if k % 5 == 1 else "keep", "score": 0.9 if k % 10 < 5 else 0.1})
+
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("image_path"), F.encode(F.col("doc_id").cast("string"), "UTF-8").alias("content"))
+    results, errors = stages.fine_filter(docs, model, "", wait=lambda s: None)
+    return results.select("id", "route").union(errors.select("id", F.lit("error"))).select(F.col("id").cast("long").alias("doc_id"), "route")
+
+
+@_query(_PLANTED + "SELECT seed_id, count(*) AS n_removed FROM d WHERE distance <= 2 GROUP BY ROLLUP (seed_id) HAVING count(*) > 0")
+def removed_per_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items, seeds = _planted(spark, sf_dir)
+    own = items.select(F.col("vec_id").cast("string").alias("path"), F.col("label").cast("string").alias("slug"), "code")
+    own_seeds = seeds.select(F.col("seed_id").cast("string").alias("seed_id"), F.col("label").cast("string").alias("slug"), "code")
+    return stages.remove_seed_duplicates(own, own_seeds)[1].select(F.col("seed_id").cast("long").alias("seed_id"), "n_removed")
+
+
+@_query("SELECT sha1(text) AS sha1, source || '/' || doc_id AS path, CAST(doc_id AS DOUBLE) AS timestamp FROM documents ORDER BY path")
+def index_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index appended in two parts, read, rewritten in order and read again."""
+    path, i = _folder(spark, "index"), F.col("doc_id")
+    entries = table(spark, sf_dir, "documents").select(F.sha1("text").alias("sha1"), F.concat("source", F.lit("/"), i).alias("path"), i.cast("double").alias("timestamp"), (i % 2).alias("part"))
+    for part in (0, 1):
+        sinks.append_index(entries.where(F.col("part") == part).drop("part"), path)
+    return sinks.rewrite_index(files.index(spark, path).select("sha1", "path", "timestamp"), path)
+
+
+@_query("SELECT vec_id, CAST(label AS INT) AS object_count FROM embeddings WHERE label < 5")
+def score_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score log with a header and CRLF line ends, read back."""
+    path = _folder(spark, "log")
+    none = [F.lit(0.5).alias(n) for n in scoring.PROMPTS]
+    sinks.score_log(_vectors(spark, sf_dir).where("label < 5").select(F.col("vec_id").alias("path"), *none, F.col("label").alias("object_count")), path)
+    return files.score_log(spark, path).select(F.col("path").cast("long").alias("vec_id"), "object_count")
+
+
+@_query("SELECT doc_id, CASE WHEN n_chars >= 1000 THEN 'keep' ELSE 'reject' END AS route, sha1(text) AS sha1 FROM documents")
+def routed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "routed")
+    sinks.routed(table(spark, sf_dir, "documents").select("doc_id", "n_chars", F.sha1("text").alias("sha1")), F.col("n_chars") >= 1000, path)
+    return spark.read.parquet(path).select("doc_id", "route", "sha1")
+
+
+@_query("SELECT DISTINCT sha1(text) AS sha1, '.jpg' AS ending, CAST(octet_length(encode(text)) AS INT) AS length FROM documents")
+def content_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _folder(spark, "contents")
+    sinks.contents(table(spark, sf_dir, "documents").select(F.concat(F.col("doc_id"), F.lit(".JPG")).alias("path"), F.encode("text", "UTF-8").alias("content")), path)
+    return spark.read.parquet(path).select("sha1", "ending", F.length("content").alias("length"))
+
+
+@_query("SELECT doc_id, sha1(text) AS sha1, CAST(n_chars AS INT) AS width FROM documents")
+def sidecar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sidecars as JSON, joined to their items again."""
+    none = lambda k: F.lit(None).cast("string").alias(k)
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha1("text").alias("sha1"), F.col("n_chars").cast("int").alias("width"), *map(none, ("source", "content_type", "status", "final_url", "height", "format")))
+    written = sinks.sidecar_json(docs).dropDuplicates(["sha1"])
+    metas = written.select(F.lit("d").alias("folder"), F.col("sha1").alias("stem"), F.from_json("json", files.SIDECAR).alias("meta"))
+    items = docs.select("doc_id", F.concat(F.lit("d/"), "sha1", F.lit(".jpg")).alias("path"))
+    return files.with_sidecar(items, metas).select("doc_id", "meta.sha1", "meta.width")
+
+
+@_query("SELECT p_partkey, coalesce(nullif(CASE WHEN p_partkey % 3 = 0 THEN '' ELSE 'id' || p_partkey END, ''), 'x' || p_partkey) AS id, p_name AS image_path FROM part")
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of JSON lines with the alternative names of its fields."""
+    path, k = _folder(spark, "manifest") + ".jsonl", F.col("p_partkey")
+    parts = table(spark, sf_dir, "part").select(F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("id"), k)).alias("id"), F.concat(F.lit("x"), k).alias("identifier"), F.when(k % 2 == 0, F.col("p_name")).alias("image"), F.when(k % 2 == 1, F.col("p_name")).alias("path"), k.alias("own"))
+    parts.write.json(path)
+    out = files.manifest(spark, path)
+    return out.select(F.get_json_object("extra", "$.own").cast("long").alias("p_partkey"), "id", "image_path")
+
+
+@_query("SELECT user_id, min(event_id) AS event_id FROM events GROUP BY 1")
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream's events appended to an index by key; a second run adds nothing."""
+    folder = _folder(spark, "ingest")
+    stream = lambda: ingest.file_stream(spark, sf_dir, table(spark, sf_dir, "events").schema, glob="events.parquet").select("user_id", "event_id")
+    for _ in range(2):
+        ingest.ingest_new(stream(), f"{folder}/index", "user_id", ["event_id"], f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/index").select("user_id", "event_id")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

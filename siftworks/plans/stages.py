@@ -6,6 +6,7 @@ a function given by the caller; what writes is left to ``siftworks.sources.sinks
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import models, text, vectors, verdict
 from ..operators import dedup, filters, index, limits, scoring
 from ..sources import files, pages
+from ..staging import stage
 
 Fetch = Callable[[str, int, int], dict]
 
@@ -32,28 +34,54 @@ def keyword_crawl(
 ) -> DataFrame:
     """New items of keyword searches: (query, slug, url, url_md5[, what ``download`` adds, sha1, timestamp]).
 
-    Page after page per query; the first valid URL of each entry; URLs seen before or in the
-    index go. ``download`` adds content (and width, height): then the size rule holds unless
+    Page after page per query, until each has its limit of saved items or has ended; the first
+    valid URL of each entry; URLs seen before or in the index go. ``download`` adds content (and width, height): then the size rule holds unless
     ``debug``, contents seen before go, and each query is cut to its exact limit.
     """
-    found = pages.keyword_urls(pages.read(spark, fetch, list(queries), "keyword_pages", pagesize=page_size, limit=10 * limit_per_query))
-    items = found.withColumns({"slug": text.slug(F.col("query")), "url_md5": text.url_key(F.col("url"))})
     order = ["query", "page", "position"]
-    items = dedup.first_by_key(items, F.col("url_md5"), order, "_k").drop("_k")
-    if known is not None:
-        items = dedup.new_by_key(items, known, "url_md5")
-    if download is not None:
-        items = _distinct_contents(download(items), known, order, run_ts)
-        if {"width", "height"} <= set(items.columns):
-            items = items.where(filters.size_and_aspect(F.col("width"), F.col("height"), dimensions, active=not debug))
-    return limits.limit_per_group(items, "query", order[1:], limit_per_query)
 
+    def saved(names: list[str], first: int, n: int, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        read = stage(pages.read(spark, fetch, names, "keyword_pages", pagesize=page_size, first=first, pages=n), "entries")
+        items = pages.keyword_urls(read).withColumns({"slug": text.slug(F.col("query")), "url_md5": text.url_key(F.col("url"))})
+        items = dedup.first_by_key(items, F.col("url_md5"), order, "_k").drop("_k")
+        for index_ in (known, before):
+            items = dedup.new_by_key(items, index_, "url_md5") if index_ is not None else items
+        if download is not None:
+            items = _distinct_contents(download(items), [known, before], order, run_ts)
+            if {"width", "height"} <= set(items.columns):
+                items = items.where(filters.size_and_aspect(F.col("width"), F.col("height"), dimensions, active=not debug))
+        return items, read
+
+    return _until_saved(saved, list(queries), "query", order[1:], limit_per_query, -(-limit_per_query // page_size))
+
+
+def _until_saved(saved: Callable[[list[str], int, int, DataFrame | None], tuple[DataFrame, DataFrame]], names: list[str], group: str, order: list[str], limit: int, pages_: int, idle: int = 0) -> DataFrame:
+    """Rounds of pages, each round twice as long, until every name has ``limit`` saved items, has ended, or had ``idle`` pages without one (0: never).
 
-def _distinct_contents(items: DataFrame, known: DataFrame | None, order: list[str], run_ts: Column | None) -> DataFrame:
+    Names are the caller's list; of what was saved the driver sees a count and a page for each.
+    """
+    first, out, left, n = 0, None, sorted(set(names)), max(1, pages_)
+    have: dict[str, tuple[int, int]] = {}
+    while True:
+        items, read = saved(left, first, n, out)
+        items = stage(items, "saved")
+        out = items if out is None else stage(out.unionByName(items), "saved")
+        ended = {r.query for r in read.where("position = -1").select("query").distinct().collect()}
+        for r in out.groupBy(group).agg(F.count("*").alias("n"), F.max("page").alias("last")).collect():
+            have[r[group]] = (r.n, r.last)
+        first, n = first + n, 2 * n
+        left = [q for q in left if q not in ended and have.get(q, (0, -1))[0] < limit and not (idle and first - 1 - have.get(q, (0, -1))[1] >= idle)]
+        if not left:
+            return limits.limit_per_group(out, group, order, limit)
+
+
+def _distinct_contents(items: DataFrame, known: Sequence[DataFrame | None], order: list[str], run_ts: Column | None) -> DataFrame:
     items = items.where("content is not null").withColumn("sha1", text.content_key(F.col("content")))
     items = items.withColumn("timestamp", run_ts if run_ts is not None else F.unix_timestamp().cast("double"))
     items = dedup.first_by_key(items, F.col("sha1"), order, "_k").drop("_k")
-    return dedup.new_by_key(items, known, "sha1") if known is not None else items
+    for index_ in known:
+        items = dedup.new_by_key(items, index_, "sha1") if index_ is not None else items
+    return items
 
 
 def reverse_search(
@@ -78,19 +106,23 @@ def reverse_search(
     """
     names = [r.seed for r in seeds.select("seed").distinct().collect()]  # the caller's list of queries
     size = min(60, max(30, page_size))
-    found = pages.similar_urls(pages.read(spark, fetch, names, "similar_pages", pagesize=size, limit=10 * limit_per_seed, emptypages=idle_pages))
-    items = found.withColumnRenamed("query", "seed").withColumn("url_md5", text.url_key(F.col("url")))
     order = ["seed", "page", "position"]
-    items = dedup.first_by_key(items, F.col("url_md5"), order, "_k").drop("_k")
-    if dedup_urls and known is not None:
-        items = dedup.new_by_key(items, known, "url_md5")
-    if download is not None:
-        items = _distinct_contents(download(items), known if dedup_urls else None, order, run_ts)
-        if phash:
-            near = items.join(seeds.select("seed", F.col("code").alias("seed_code")), "seed")
-            near = near.withColumn("distance", vectors.hamming(F.col("code"), F.col("seed_code")))
-            items = near.where(filters.hash_band(F.col("distance"), dhash_threshold, dhash_min_distance)).drop("seed_code")
-    return limits.limit_per_group(items, "seed", order[1:], limit_per_seed)
+
+    def saved(left: list[str], first: int, n: int, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        read = stage(pages.read(spark, fetch, left, "similar_pages", pagesize=size, first=first, pages=n, tries=1), "entries")
+        items = pages.similar_urls(read).withColumnRenamed("query", "seed").withColumn("url_md5", text.url_key(F.col("url")))
+        items = dedup.first_by_key(items, F.col("url_md5"), order, "_k").drop("_k")
+        for index_ in (known if dedup_urls else None, before):
+            items = dedup.new_by_key(items, index_, "url_md5") if index_ is not None else items
+        if download is not None:
+            items = _distinct_contents(download(items), [known if dedup_urls else None, before], order, run_ts)
+            if phash:
+                near = items.join(seeds.select("seed", F.col("code").alias("seed_code")), "seed")
+                near = near.withColumn("distance", vectors.hamming(F.col("code"), F.col("seed_code")))
+                items = near.where(filters.hash_band(F.col("distance"), dhash_threshold, dhash_min_distance)).drop("seed_code")
+        return items, read
+
+    return _until_saved(saved, names, "seed", order[1:], limit_per_seed, -(-limit_per_seed // size), idle_pages)
 
 
 def prefilter(
@@ -135,11 +167,13 @@ def fine_filter(
     tries: int = 3,
     limit: int | None = None,
     response_of: Callable[[Column], Column] | None = None,
+    workers: int = 2,
+    wait: Callable[[float], None] = time.sleep,
 ) -> tuple[DataFrame, DataFrame]:
     """(results, errors) of candidates (id, image_path, content): a verdict and a route each, or an error row; never both."""
-    asked = models.judge(limits.limit_candidates(candidates, ["id", "image_path"], limit), model, prompt, tries)
+    asked = models.judge(limits.limit_candidates(candidates, ["id", "image_path"], limit), model, prompt, tries, workers, wait)
     said = response_of(F.col("response")) if response_of else F.col("response")
-    out = asked.withColumn("v", verdict.normalise(said)).drop("response")
+    out = stage(asked.withColumn("v", verdict.normalise(said)).drop("response"), "verdicts")  # written: results and errors are of one run of the model
     good = F.col("error").isNull() & F.col("v.ok")
     results = out.where(good).select("id", "image_path", *(f"v.{c}" for c in ("decision", "score", "reason", "room_tags", "object_tags", "raw_response")))
     routed = results.withColumn("route", scoring.route(verdict.final_keep(F.col("decision"), F.col("score"), min_score)))
@@ -152,7 +186,9 @@ def rebuild_index(spark: SparkSession, root: str, index_path: str | None = None,
 
     Kind ``filtered`` gives entries (sha1, source, target, timestamp), else (sha1, url_md5, url, path, timestamp).
     """
-    kind = kind or index.mode(index_path or root)
+    if kind is None:
+        first = files.index(spark, index_path).orderBy("line_no").first() if index_path else None
+        kind = index.mode(index_path or root, [k for k, v in first.asDict().items() if v is not None] if first else None)
     now = run_ts if run_ts is not None else F.unix_timestamp().cast("double")
     found = files.with_sidecar(files.images(spark, root), files.sidecars(spark, root))
     shown = text.relative_path(F.regexp_replace("path", "^file:/*", "/"), root)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import identifier, stem, truthy
 from ..operators.filters import comment_or_blank
+from ..staging import shared_dir
 
 IMAGE_ENDINGS = ("jpg", "jpeg", "png", "webp", "bmp")
 INDEX = "sha1 string, url_md5 string, url string, path string, source string, target string, timestamp double"
@@ -43,7 +43,7 @@ def _visible(spark: SparkSession, path: str) -> str:
     name = path.rstrip("/").rpartition("/")[2]
     if name[:1] not in ("_", "."):
         return path
-    where = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siftworks-")
+    where = shared_dir(spark)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{where.rstrip('/')}/{uuid.uuid4().hex}{name.lstrip('_.')}"))
     jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
@@ -76,8 +76,7 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
         whole = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
         kind = F.schema_of_variant("v")
         good = whole.withColumn("v", F.when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.col("v")).otherwise(F.raise_error(F.lit("a manifest is an array or an object")).cast("variant")))
-        good.createOrReplaceTempView("_manifest")
-        found = spark.sql("SELECT e.value AS raw0, e.key AS key, e.pos AS at FROM _manifest, LATERAL variant_explode(v) AS e")
+        found = spark.sql("SELECT e.value AS raw0, e.key AS key, e.pos AS at FROM {good}, LATERAL variant_explode(v) AS e", good=good)
         scalar = ~F.schema_of_variant("raw0").startswith("OBJECT")
         found = found.where(~scalar | F.col("key").isNotNull())
         found = found.select(F.when(scalar, F.parse_json(F.to_json(F.struct(F.col("raw0").alias("image_path"))))).otherwise(F.col("raw0")).alias("raw"), "key", "at")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import limits
+
 
 def append_index(entries: DataFrame, path: str) -> None:
     """Index entries as JSON lines, added to what is there."""
@@ -12,16 +14,34 @@ def append_index(entries: DataFrame, path: str) -> None:
 
 
 def rewrite_index(entries: DataFrame, path: str, order: str = "path", dry_run: bool = False) -> DataFrame:
-    """The whole index anew, sorted: written beside it, then swapped, so a reader of the old one is never cut off. Returns the entries."""
-    ordered = entries.orderBy(order)
-    if not dry_run:
-        spark, fresh = entries.sparkSession, path.rstrip("/") + ".new"
-        ordered.write.mode("overwrite").option("ignoreNullFields", "false").json(fresh)
-        there = spark._jvm.org.apache.hadoop.fs.Path
-        fs = there(path).getFileSystem(spark._jsc.hadoopConfiguration())
-        fs.delete(there(path), True)
-        fs.rename(there(fresh), there(path))
-    return ordered
+    """The whole index anew, sorted; returns what was written (the entries, for a dry run).
+
+    It is written beside the old one, which then moves aside before the new one takes its
+    place and goes last. After a crash between the moves, the next call puts the old one back.
+    """
+    if dry_run:
+        return entries.orderBy(order)
+    spark, base = entries.sparkSession, path.rstrip("/")
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    here, fresh, old = jvm(base), jvm(base + ".new"), jvm(base + ".old")
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    restore_index(spark, path)
+    schema = entries.schema
+    entries.orderBy(order).write.mode("overwrite").option("ignoreNullFields", "false").json(base + ".new")
+    fs.delete(old, True)
+    if fs.exists(here) and not fs.rename(here, old):
+        raise OSError(f"could not move {base} aside")
+    if not fs.rename(fresh, here):
+        raise OSError(f"could not put the new index at {base}; the old one is at {base}.old")
+    fs.delete(old, True)
+    return spark.read.schema(schema).json(path)
+
+
+def restore_index(spark: SparkSession, path: str) -> bool:
+    """Puts an index back that a crash left moved aside; returns whether."""
+    base, jvm = path.rstrip("/"), spark._jvm.org.apache.hadoop.fs.Path
+    fs = jvm(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    return not fs.exists(jvm(base)) and fs.exists(jvm(base + ".old")) and fs.rename(jvm(base + ".old"), jvm(base))
 
 
 def score_log(kept: DataFrame, path: str) -> None:
@@ -42,6 +62,11 @@ def errors(failed: DataFrame, path: str) -> bool:
     return True
 
 
+def error_document(failed: DataFrame) -> DataFrame:
+    """One row (json) with the document {count, errors: {id: message}} that a person reads."""
+    return limits.error_report(failed).select(F.to_json(F.struct("count", "errors")).alias("json"))
+
+
 def errors_path(output: str) -> str:
     head, _, tail = output.rpartition("/")
     return f"{head}/" * bool(head) + (tail.rsplit(".", 1)[0] if "." in tail else tail) + ".errors.json"

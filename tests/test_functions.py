@@ -1,4 +1,5 @@
 import hashlib
+import json
 import math
 
 from pyspark.sql import functions as F
@@ -44,7 +45,11 @@ def test_urls_and_pages(spark):
     assert (context.token, context.carousel, context.image, context.sign, context.ajax_params) == ("0123456789abcdef0", "5038", "http://img12.host.com/a.jpg", "s1", {})
     assert each(spark, text.image_urls, ["x http://a/b.jpg 'http://a/a.png' http://a/b.jpg"]) == [["http://a/a.png", "http://a/b.jpg"]]
     assert each(spark, text.unescape_all, ["a &eacute;&#x41; &amp;lt;", None]) == ["a éA &lt;", None]
-    assert each(spark, text.unescape_backslashes, [r"a&b\/c"]) == ["a&b/c"]
+    b = chr(92)  # escapes are put together here, so that no tool decodes them in this file
+    said = [f"a{b}u0026b{b}/c{b}u003Dd", f"{b}ud83d{b}ude00x{b}u00E9", f"{b}ud83d{b}n", "plain", None, ""]
+    assert each(spark, text.unescape_backslashes, said) == ["a&b/c=d", chr(0x1F600) + "x" + chr(0xE9), said[2], "plain", None, ""]
+    ajax = f'"https:{b}/{b}/h{b}/ajax?a=1{b}u0026b=2"'
+    assert one(spark, text.page_context(F.col("p")), p=("string", ajax)).ajax_params == {"a": "1", "b": "2"}
     assert one(spark, text.build_url("b", [("k", F.lit("a b"))], True)) == "b?k=a%20b"
     assert each(spark, text.deobfuscate, ["AzdH3Fw"]) == ["/a"]
 
@@ -91,6 +96,10 @@ def test_verdicts(spark):
     got = each(spark, verdict.normalise, ['{"decision":"keep","score":2,"room_tags":["A",null,5],"object_tags":7}', "[1]", "{", None])
     assert got[0].ok and (got[0].decision, got[0].score, got[0].room_tags, got[0].object_tags, got[0].reason) == ("keep", 1.0, ["a", "5"], [], "")
     assert [g.ok for g in got[1:]] == [False] * 3 and got[1].decision is None and got[1].error
+    raw = json.loads(got[0].raw_response)
+    assert raw == {"decision": "keep", "score": 1.0, "reason": "", "room_tags": ["a", "5"], "object_tags": []}
+    assert json.loads(each(spark, verdict.normalise, ['{"x":{"y":[1,null]},"score":"7"}'])[0].raw_response) == {"x": {"y": [1, None]}, "decision": "reject", "score": 1.0, "reason": "", "room_tags": [], "object_tags": []}
+    assert each(spark, verdict.response_text, ['{"output":[{"type":"reasoning"},{"content":[{"text":" "},{"text":{"value":"v"}},{"text":"z"}]}]}', '{"output":[{"content":7}],"output_text":"t"}', '{"message":{"content":5},"response":" r "}', '{"output":[]}']) == ["v", "t", "r", None]
     assert each(spark, verdict.response_text, ['{"message":{"content":" {} "}}', '{"output":[{"content":[{"text":"a"}]}]}', "x"]) == ["{}", "a", None]
 
 

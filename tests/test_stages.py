@@ -24,6 +24,17 @@ def test_keyword_crawl(spark):
     assert stages.keyword_crawl(spark, fetch, ["c"], download=sized, debug=True).count() == 1
 
 
+def test_crawl_pages_until_enough_is_saved(spark):
+    """Most entries are known or repeated, so the limit is reached on late pages only."""
+    e = lambda k: {"objURL": f"http://{k}"}
+    fetch = pages.captured({"q": [[e(k % 7) for k in range(p, p + 10)] if p < 20 else [e(100 + p)] for p in range(30)], "r": [[e(500)]]})
+    known = spark.range(7).select(F.md5(F.concat(F.lit("http://"), "id")).alias("url_md5"), F.lit(None).cast("string").alias("sha1"))
+    got = stages.keyword_crawl(spark, fetch, ["q", "r"], known, limit_per_query=4, page_size=10).collect()
+    assert sorted(r.url for r in got) == [f"http://{100 + p}" for p in range(20, 24)] + ["http://500"]
+    same = lambda df: df.withColumn("content", F.encode(F.lit("one"), "UTF-8"))
+    assert stages.keyword_crawl(spark, fetch, ["q"], known, limit_per_query=4, page_size=10, download=same).count() == 1
+
+
 def test_reverse_search(spark):
     fetch = pages.captured({"s": [[{"thumbUrl": f"http://{n}"} for n in range(4)]]})
     seeds = spark.createDataFrame([("s", 0)], "seed string, code long")
@@ -52,7 +63,7 @@ def test_fine_filter(spark):
             raise ValueError("no answer")
         return "[1]" if content == b"list" else json.dumps({"decision": "keep", "score": 0.9 if content == b"keep" else 0.1, "object_tags": "x; X; y"})
 
-    results, errors = stages.fine_filter(items, model, "prompt")
+    results, errors = stages.fine_filter(items, model, "prompt", wait=lambda s: None)
     assert sorted((r.id, r.decision, r.route, r.object_tags) for r in results.collect()) == [("a", "keep", "keep", ["x", "y"]), ("b", "keep", "reject", ["x", "y"])]
     assert {r.id: r.error for r in errors.collect()} == {"c": "ValueError('no answer')", "d": "no JSON object"}
 
