@@ -1,48 +1,5 @@
-"""Intermediate tables in the folder that driver and executors share.
+"""Intermediate tables of this subpackage, staged as the rest of the library stages its own."""
 
-A staged table cuts lineage and survives the loss of executors, because its
-files live in ``spark.checkpoint.dir`` rather than on any executor's disk.
-"""
+from ..staging import shared_dir, stage
 
-from __future__ import annotations
-
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-_own_dirs: dict[str, str] = {}
-_to_delete: dict[str, SparkSession] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where it is unset (tests), a folder of our own."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.sparkContext.applicationId
-    if not where:
-        where = _own_dirs.setdefault(app, tempfile.mkdtemp(prefix="siftworks-"))
-    folder = f"{where.rstrip('/')}/siftworks-{app}"
-    if folder not in _to_delete:
-        if not _to_delete:
-            atexit.register(_clean)
-        _to_delete[folder] = spark
-    return folder
-
-
-def _clean() -> None:
-    """Removes what this application staged; a killed driver leaves it for the folder's own retention."""
-    for folder, spark in _to_delete.items():
-        try:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        except Exception:  # noqa: BLE001  the JVM may be gone already
-            pass
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` as Parquet into the shared folder and reads it back."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["shared_dir", "stage"]
