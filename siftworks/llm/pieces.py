@@ -9,7 +9,9 @@ For unigram models a candidate's score is the best score before it plus its piec
 models, whose segmentation is no maximum of summed scores, it is 0 if piece and predecessor
 agree and minus infinity otherwise: two neighbours agree if merging their joint text gives just
 these two. A segmentation is the model's own exactly if all its neighbours agree, and each
-prefix has one last piece for which they do, so the maximum is unique and exact.
+prefix has one last piece for which they do, so the maximum is unique and exact. Whether two
+agree is read from tables of merges, for many pairs at once, by taking both apart along their
+border in the reverse order of merging.
 """
 
 from __future__ import annotations
@@ -28,15 +30,19 @@ from pyspark.sql import functions as F
 
 from .batches import slices, tidied
 
-#: Longer words go through plain merging; pairs and words that a worker remembers; words that advance together.
-LONG, PAIRS, KEEP, BATCH = 200, 3_000_000, 600_000, 50_000
+#: Words that a worker remembers; characters that advance together; from this length on words are filled up to a power of two, so that different lengths do.
+KEEP, BATCH, FILLED = 600_000, 1_000_000, 64
 SPACE = "▁"
 #: Bytes of text that are encoded together.
 SLICE = 12_000_000
 _LOOSE = re.compile(r"\A | (?= |\Z)")
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_POWERS = np.array([pow(int(_BASE), k, 1 << 64) for k in range(LONG + 1)], np.uint64)
+#: After a word's end; no character.
+_FILL = 0x110000
+#: Leaves the leading bits of a hash, by which most that are not there are told at once.
+_TOP = np.uint64(48)
+_ODD, _PAIR_BITS = 0x1E3779B97F4A7C15, (1 << 19) - 1
 
 
 def _prefix_hashes(codes: np.ndarray) -> np.ndarray:
@@ -71,28 +77,61 @@ class Pieces:
             elif p.type in (1, 4):
                 self.ids[p.piece], self.text[i], self.bytes[i] = i, p.piece, p.piece.replace(SPACE, " ").encode()
         self.longest = max(map(len, self.ids), default=1)
-        if not self.unigram:  # a piece that merging does not give is never a candidate
-            usable = {p: i for p, i in self.ids.items() if len(self.merge(p)) == 1}
-        else:
-            usable = self.ids
-        self.keys, self.of_key = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        self.powers = np.array([pow(int(_BASE), k, 1 << 64) for k in range(self.longest + 1)], np.uint64)
+        usable = self.ids
+        if not self.unigram:
+            usable = self._merges()
+        self.keys, self.of_key, self.codes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros((0, 0), np.uint32)]
         for k in range(1, self.longest + 1):
             own = [(p, i) for p, i in usable.items() if len(p) == k]
-            h = _prefix_hashes(np.array([[ord(c) for c in p] for p, _ in own], np.uint64).reshape(len(own), k))[:, -1]
+            codes = np.array([[ord(c) for c in p] for p, _ in own], np.uint32).reshape(len(own), k)
+            h = _prefix_hashes(codes.astype(np.uint64))[:, -1]
             order = np.argsort(h)
             self.keys.append(h[order])
             self.of_key.append(np.array([i for _, i in own], np.int64)[order])
-        self.pair_keys, self.pair_ok = np.zeros(0, np.int64), np.zeros(0, bool)
+            self.codes.append(codes[order])
+        self.maybe = [np.bincount((h >> _TOP).astype(np.int64), minlength=1 << 16) > 0 for h in self.keys]
         self._kept: dict[str, bytes] = {}
         lens = np.array(list(map(len, self.bytes)), np.int64)
         self._at, self._len = np.concatenate([[0], np.cumsum(lens)]), lens
         self._flat = np.frombuffer(b"".join(self.bytes), np.uint8)
 
-    def merge(self, word: str) -> list[str]:
-        """The word's parts after merging the best-scored neighbours, leftmost first, until none is a piece."""
+    def _merges(self) -> dict[str, int]:
+        """Fills the tables of merges; returns the pieces that merging can give, as others are never candidates."""
+        wide = self.size + _FILL
+        order = np.argsort(-self.scores, kind="stable")
+        self.rank = np.full(wide, -1, np.int64)  # single characters come before all merges
+        self.left, self.right = np.arange(wide), np.arange(wide)
+        code = lambda c: self.ids.get(c, self.size + ord(c))
+        place = np.empty(self.size, np.int64)
+        place[order] = np.arange(self.size)
+        usable, pairs, merged = {}, [], []
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                usable[p] = i
+                continue
+            self.rank[i] = place[i]
+            for at in range(1, len(p)):
+                a, b = p[:at], p[at:]
+                if (a in self.ids or at == 1) and (b in self.ids or at == len(p) - 1):
+                    pairs.append((code(a) if at == 1 else self.ids[a]) * wide + (code(b) if at == len(p) - 1 else self.ids[b]))
+                    merged.append(place[i])
+            parts, last = self.merge(p)
+            if len(parts) == 1:
+                usable[p] = i
+                self.left[i], self.right[i] = (code(x) if len(x) == 1 else self.ids[x] for x in last)
+        pairs = np.array(pairs, np.int64)
+        order = np.argsort(pairs)
+        self.pairs, self.pair_rank = pairs[order], np.array(merged, np.int64)[order]
+        self.maybe_pair = np.bincount(pairs * _ODD >> 44 & _PAIR_BITS, minlength=_PAIR_BITS + 1) > 0
+        return usable
+
+    def merge(self, word: str) -> tuple[list[str], tuple[str, str]]:
+        """The word's parts after merging the best-scored neighbours, leftmost first, until none is a piece; and the two that were merged last."""
         parts: list[str | None] = list(word)
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         queue: list[tuple[float, int, int, str]] = []
+        last = ("", "")
 
         def add(i: int, j: int) -> None:
             if i >= 0 and j < len(parts) and (k := self.ids.get(parts[i] + parts[j])) is not None:
@@ -104,66 +143,73 @@ class Pieces:
             _, i, j, both = heapq.heappop(queue)
             if parts[i] is None or parts[j] is None or after[i] != j or parts[i] + parts[j] != both:
                 continue
+            last = (parts[i], parts[j])
             parts[i], parts[j], after[i] = both, None, after[j]
             if after[j] < len(parts):
                 before[after[j]] = i
             add(before[i], i)
             add(i, after[i])
-        return [p for p in parts if p is not None]
+        return [p for p in parts if p is not None], last
+
+    def agree(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether pieces a and b, side by side, are what merging makes of their joint text.
 
-    def _agree(self, keys: np.ndarray) -> np.ndarray:
-        """Whether pairs (left * wide + right) are what merging makes of their joint text; remembered."""
-        wide = self.size + 0x110000
-        at = np.searchsorted(self.pair_keys, keys)
-        known = np.zeros(len(keys), bool)
-        if len(self.pair_keys):
-            known = self.pair_keys[np.minimum(at, len(self.pair_keys) - 1)] == keys
-        out = np.zeros(len(keys), bool)
-        out[known] = self.pair_ok[at[known]]
-        if not known.all():
-            name = lambda i: self.text[i] if i < self.size else chr(i - self.size)
-            new, back = np.unique(keys[~known], return_inverse=True)
-            ok = np.array([self.merge(name(k // wide) + name(k % wide)) == [name(k // wide), name(k % wide)] for k in new.tolist()])
-            out[~known] = ok[back]
-            if len(self.pair_keys) > PAIRS:
-                self.pair_keys, self.pair_ok = np.zeros(0, np.int64), np.zeros(0, bool)
-            place = np.searchsorted(self.pair_keys, new)
-            self.pair_keys, self.pair_ok = np.insert(self.pair_keys, place, new), np.insert(self.pair_ok, place, ok)
+        They are unless some merge over the border comes before one that made what lies at it.
+        So the later-made of both is taken apart, and what is left at the border is looked up
+        as a pair that may merge before it; of equal ranks the one on the left is first.
+        """
+        wide = self.size + _FILL
+        out, at = np.ones(len(a), bool), np.arange(len(a))
+        a, b, limit = a.copy(), b.copy(), np.full(len(a), np.iinfo(np.int64).max)
+        while len(at):
+            keys, bad = a * wide + b, np.zeros(len(at), bool)
+            some = np.flatnonzero(self.maybe_pair[keys * _ODD >> 44 & _PAIR_BITS])
+            k = np.minimum(np.searchsorted(self.pairs, keys[some]), max(len(self.pairs) - 1, 0))
+            bad[some] = (self.pairs[k] == keys[some]) & (self.pair_rank[k] < limit[some]) if len(self.pairs) else False
+            out[at[bad]] = False
+            ra, rb = self.rank[a], self.rank[b]
+            first = ra > rb
+            limit = np.where(first, ra, rb + 1)
+            go = ~bad & ((ra >= 0) | (rb >= 0))  # two characters have nothing to be taken apart
+            a, b = np.where(first, self.right[a], a)[go], np.where(first, b, self.left[b])[go]
+            at, limit = at[go], limit[go]
         return out
 
-    def viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of n words of equal length, given as code points, in a row, and each word's number; unknown characters as size + code point."""
+    def viterbi(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of n words, given as code points in rows filled up to one length, all words' in a row, and each word's number; unknown characters as size + code point."""
         n, length = codes.shape
-        h = _prefix_hashes(codes.astype(np.uint64))
-        wide, unk = self.size + 0x110000, (self.scores.min() if self.size else 0.0) - 10
+        h, unk = _prefix_hashes(codes.astype(np.uint64)), (self.scores.min() if self.size else 0.0) - 10
         best = np.full((n, length + 1), -np.inf, np.float32)
         best[:, 0] = 0
         last, back = np.full((n, length + 1), -1, np.int64), np.zeros((n, length + 1), np.int32)
         for j in range(1, length + 1):
             for k in range(min(j, self.longest), 0, -1):
                 keys = self.keys[k]
-                sub = h[:, j] - h[:, j - k] * _POWERS[k]
-                at = np.minimum(np.searchsorted(keys, sub), max(len(keys) - 1, 0))
-                hit = keys[at] == sub if len(keys) else np.zeros(n, bool)
+                on = np.isfinite(best[:, j - k]) & (ends >= j)
+                sub = h[:, j] - h[:, j - k] * self.powers[k]
+                rows = np.flatnonzero(self.maybe[k][(sub >> _TOP).astype(np.int64)] & on)  # few substrings of a word are pieces
+                at = np.minimum(np.searchsorted(keys, sub[rows]), max(len(keys) - 1, 0))
+                hit = np.flatnonzero(keys[at] == sub[rows]) if len(keys) else np.zeros(0, np.int64)
+                rows, at = rows[hit], at[hit]
+                same = (self.codes[k][at] == codes[rows, j - k : j]).all(1)  # equal hashes, equal texts
+                rows, t = rows[same], self.of_key[k][at[same]]
                 if k == 1:
-                    piece = np.where(hit, self.of_key[1][at] if len(keys) else 0, self.size + codes[:, j - 1].astype(np.int64))
-                    rows = np.flatnonzero(np.isfinite(best[:, j - 1]))
-                else:
-                    rows = np.flatnonzero(hit & np.isfinite(best[:, j - k]))
-                    piece = self.of_key[k][at] if len(keys) else at
+                    unknown = on.copy()
+                    unknown[rows] = False
+                    other = np.flatnonzero(unknown)
+                    rows, t = np.concatenate([rows, other]), np.concatenate([t, self.size + codes[other, j - 1].astype(np.int64)])
                 if not len(rows):
                     continue
-                t = piece[rows]
                 if self.unigram:
                     score = best[rows, j - k] + np.where(t < self.size, self.scores[np.minimum(t, self.size - 1)], np.float32(unk))
                 elif j == k:
                     score = np.zeros(len(rows))
                 else:
-                    score = np.where(self._agree(last[rows, j - k] * wide + t), 0.0, -np.inf)
+                    score = np.where(self.agree(last[rows, j - k], t), 0.0, -np.inf)
                 better = score > best[rows, j]
                 rows, t = rows[better], t[better]
                 best[rows, j], last[rows, j], back[rows, j] = score[better], t, j - k
-        rows, at, steps = np.arange(n), np.full(n, length), []
+        rows, at, steps = np.arange(n), ends.copy(), []
         while len(rows):
             steps.append((rows, last[rows, at]))
             at = back[rows, at]
@@ -190,39 +236,29 @@ class Pieces:
         todo: dict[int, list[int]] = {}
         for i, x in enumerate(found):
             if x is None:
-                todo.setdefault(len(words[i]), []).append(i)
+                n = len(words[i])
+                todo.setdefault(n if n < FILLED else 1 << (n - 1).bit_length(), []).append(i)
         for length, own in todo.items():
-            for lo in range(0, len(own), BATCH):
-                part = own[lo : lo + BATCH]
-                if not 0 < length <= LONG:
-                    got = [self._long(words[i]) for i in part] if length else [[]] * len(part)
+            step = max(1, BATCH // max(length, 1))
+            for lo in range(0, len(own), step):
+                part = own[lo : lo + step]
+                if length:
+                    codes = np.frombuffer("".join(words[i].ljust(length, chr(0)) for i in part).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, length)
+                    ends = np.array([len(words[i]) for i in part])
+                    codes = np.where(np.arange(length)[None, :] < ends[:, None], codes, np.uint32(_FILL))
+                    flat, n = self.viterbi(codes, ends)
                 else:
-                    codes = np.frombuffer("".join(words[i] for i in part).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, length)
-                    flat, n = self.viterbi(codes)
-                    got = np.split(flat, np.cumsum(n)[:-1])
-                for i, x in zip(part, got):
-                    found[i] = np.asarray(x if len(x) and max(x) < self.size else self._finish(list(x)), "<u4").tobytes()
-                    if len(self._kept) < KEEP:
-                        self._kept[words[i]] = found[i]
+                    flat, n = np.zeros(0, np.int64), np.zeros(len(part), np.int64)
+                data, to = flat.astype("<u4").tobytes(), np.cumsum(n)
+                for i, a, b in zip(part, (4 * (to - n)).tolist(), (4 * to).tolist()):
+                    found[i] = data[a:b]
+                strange = np.unique(np.searchsorted(to, np.flatnonzero(flat >= self.size), "right"))  # words with unknown characters
+                for k in strange.tolist():
+                    found[part[k]] = np.array(self._finish(flat[to[k] - n[k] : to[k]].tolist()), "<u4").tobytes()
+                if len(self._kept) < KEEP:
+                    self._kept.update((words[i], found[i]) for i in part)
         return found
 
-    def _long(self, word: str) -> list[int]:
-        """Pieces of one long word: by merging, or unigram Viterbi by dictionary."""
-        if not self.unigram:
-            return [self.ids.get(p, self.size + ord(p[0])) for p in self.merge(word)]
-        unk = self.scores.min() - 10
-        best: list[tuple[np.float32, int, int]] = [(np.float32(0), 0, -1)]
-        for j in range(1, len(word) + 1):
-            tries = [(best[i][0] + self.scores[t], i, t) for i in range(max(0, j - self.longest), j) if (t := self.ids.get(word[i:j])) is not None]
-            if word[j - 1] not in self.ids:
-                tries.append((best[j - 1][0] + unk, j - 1, self.size + ord(word[j - 1])))
-            best.append(max(tries, key=lambda x: (x[0], -x[1])))
-        out, j = [], len(word)
-        while j:
-            out.append(best[j][2])
-            j = best[j][1]
-        return out[::-1]
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids in a row, and each text's number of ids."""
         if not self.prefix:

@@ -401,12 +401,27 @@ def test_bpe_pieces(spark, docs, odd):
     flat, counts = pieces.pieces(path).encode(pa.array(extra))
     for line, got, back in zip(extra, np.split(flat, np.cumsum(counts)[:-1]), pieces.pieces(path).decode(flat, counts)):
         assert got.tolist() == theirs.encode(line) and back.decode("utf-8", "replace") == theirs.decode(got.tolist())
-    for df in (odd, docs.limit(40)):
+    assert pieces.encode_decode(odd.limit(0), path).count() == 0
+    for df in (odd, docs):
         d = texts(df)
         for r in pieces.encode_decode(df, path, with_ids=True).collect():
             assert r.ids == theirs.encode(d[r.doc_id] or "") and r.round_trip and r.decoded == (d[r.doc_id] or "") and r.n_ids == len(r.ids)
 
 
+def test_agreement_of_pieces_is_what_merging_gives():
+    import public_tokenizers
+
+    tok = pieces.pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    rnd = np.random.default_rng(3)
+    ids = np.array([i for k in range(1, tok.longest + 1) for i in tok.of_key[k].tolist()])
+    short = np.array([i for k in range(1, 4) for i in tok.of_key[k].tolist()])
+    a = np.concatenate([rnd.choice(ids, 3000), rnd.choice(short, 6000), [tok.size + 233]])
+    b = np.concatenate([rnd.choice(ids, 3000), rnd.choice(short, 6000), [short[0]]])
+    name = lambda i: tok.text[i] if i < tok.size else chr(i - tok.size)
+    want = [tok.merge(name(x) + name(y))[0] == [name(x), name(y)] for x, y in zip(a.tolist(), b.tolist())]
+    assert tok.agree(a, b).tolist() == want and 0.1 < np.mean(want) < 0.95
+
+
 def test_packing(odd, docs, nothing):
     import public_tokenizers
     from tokenizers import Tokenizer
