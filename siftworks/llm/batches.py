@@ -14,11 +14,18 @@ import pyarrow.compute as pc
 ROWS, SLICE = 1000, 6_000_000
 
 
-def by_rows(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most ``rows`` rows."""
+def by_rows(batches: Iterator[pa.RecordBatch], rows: int = ROWS, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows and about ``most`` bytes of text; a longer text is a slice of its own."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        size = np.zeros(b.num_rows, np.int64)
+        for c in b.columns:
+            if pa.types.is_string(c.type) or pa.types.is_large_string(c.type):
+                size += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        size, at = np.cumsum(size), 0
+        while at < b.num_rows:
+            to = max(at + 1, min(at + rows, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right"))))
+            yield b.slice(at, to - at)
+            at = to
 
 
 def slices(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[pa.RecordBatch]:

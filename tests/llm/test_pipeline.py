@@ -30,6 +30,34 @@ def test_stages(spark, sf):
     assert {r.doc_id for r in docs.collect()} == set(masked)
 
 
+def test_stages_take_odd_and_empty_tables(spark, odd, nothing, sf):
+    """Nulls, empty and long texts, repeated rows, extra columns with clashing names: each stage's result is defined."""
+    null_id = spark.createDataFrame([(None, "a b c d e f", "en", "s", 0, 1.0, 2, "k")] * 2, odd.schema)
+    own = [(r.doc_id, r.text) for r in odd.collect()]
+    for name, step in corpus_pipeline.STAGES:
+        assert step(spark, nothing, sf).count() == 0
+        rows = step(spark, odd.union(null_id), sf).collect()
+        if name != "packing":
+            assert list(rows[0].asDict()) == list(corpus_pipeline.COLUMNS)
+            assert all(r.n_chars == (None if r.text is None else len(r.text)) or name in ("quality", "near_duplicates") for r in rows)
+            got = [(r.doc_id, r.text) for r in rows if r.doc_id is not None]
+        if name == "quality":
+            assert set(got) <= set(own)
+        elif name == "near_duplicates":
+            assert sum(r.doc_id is None for r in rows) == 2  # they have no smaller copy
+            sets = {i: frozenset(simhash.shingle_set(t, 5).tolist()) for i, t in own}
+            kept = {i for i, _ in got}
+            assert all(i in kept or any(sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for j in sets if j < i) for i in sets)
+            assert len([i for i in kept if not sets[i]]) == 1
+        elif name == "substring":
+            want = plain_repeats(dict(own))
+            assert {i for i, _ in got} == {i for i, (n, gone, _) in want.items() if gone < n or n == 0}
+        elif name == "pii":
+            assert sorted(map(str, {i for i, _ in got})) == sorted(map(str, {i for i, _ in own}))
+        else:
+            assert {r.doc_id for r in rows} == {i for i, _ in own} | {None}
+
+
 def test_sequences_can_be_built_from_the_result(spark, odd, sf):
     """The last stage's rows alone give each document's ids, and sequences without gaps or overlaps."""
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))

@@ -198,6 +198,36 @@ def test_quality(spark, sf, docs, odd, nothing):
     assert none.factors is None and set(none.scores(x[:3])) == {0.5}
 
 
+def test_quality_fit_equals_plain_formulas(spark, sf, docs):
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    feats = quality.features(docs).where(~quality.held_out())
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    rows = [(marks[r.doc_id], r.x) for r in feats.collect() if r.doc_id in marks]
+    y, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    covs = [np.cov(x[y == k].T, bias=True) for k in (0, 1)]
+    pooled = sum((y == k).mean() * covs[k] for k in (0, 1))
+    gap = np.log((y == 1).sum() + 1) - np.log((y == 0).sum() + 1)
+    for k, sign in ((0, -1), (1, 1)):
+        own = 0.8 * (0.7 * covs[k] + 0.3 * pooled) + 0.2 * np.diag(np.maximum(np.diag(pooled), 1e-6))
+        z = x - x[y == k].mean(0)
+        gap = gap + sign * (-0.5 * (z @ np.linalg.inv(own) * z).sum(1) - 0.5 * np.linalg.slogdet(own)[1])
+    model = quality.fit(feats, labels)
+    assert np.allclose(model.log_odds(x), gap, rtol=1e-6, atol=1e-6)
+    p, t = model.scores(x), np.round(np.clip(gap, -50, 50), 1)
+    slope = [((1 / (1 + np.exp(-(model.scale * t + model.shift))) - y) * v).sum() + r for v, r in ((t, model.scale - 1), (1, 0.01 * model.shift))]
+    assert np.abs(slope).max() < 1e-3 or (model.scale, model.shift) == (1.0, 0.0)  # calibrated where the penalised likelihood is flat
+    assert p[y == 1].mean() > p[y == 0].mean()
+
+
+def test_slices_by_bytes():
+    import pyarrow as pa
+
+    from siftworks.llm.batches import by_rows
+
+    b = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["x" * 10, None, "x" * 25, "", "x" * 9, "x"])], ["i", "t"])
+    assert [s.num_rows for s in by_rows(iter([b]), 4, 20)] == [2, 1, 3] and [s.num_rows for s in by_rows(iter([b]), 4, 1000)] == [4, 2]
+
+
 def test_quality_density_is_gaussian():
     rnd = np.random.default_rng(0)
     a = rnd.normal(size=(2, 3, 3))
@@ -415,8 +445,11 @@ def test_agreement_of_pieces_is_what_merging_gives():
     rnd = np.random.default_rng(3)
     ids = np.array([i for k in range(1, tok.longest + 1) for i in tok.of_key[k].tolist()])
     short = np.array([i for k in range(1, 4) for i in tok.of_key[k].tolist()])
-    a = np.concatenate([rnd.choice(ids, 3000), rnd.choice(short, 6000), [tok.size + 233]])
-    b = np.concatenate([rnd.choice(ids, 3000), rnd.choice(short, 6000), [short[0]]])
+    cut = [(p[:k], p[k:]) for p in list(tok.ids)[300:9000] if len(p) > 2 for k in (1, len(p) // 2)]
+    usable = set(ids.tolist())
+    cut = np.array([(tok.ids[x], tok.ids[y]) for x, y in cut if {tok.ids.get(x), tok.ids.get(y)} <= usable])
+    a = np.concatenate([rnd.choice(ids, 3000), rnd.choice(short, 6000), [tok.size + 233], cut[:, 0]])
+    b = np.concatenate([rnd.choice(ids, 3000), rnd.choice(short, 6000), [short[0]], cut[:, 1]])
     name = lambda i: tok.text[i] if i < tok.size else chr(i - tok.size)
     want = [tok.merge(name(x) + name(y))[0] == [name(x), name(y)] for x, y in zip(a.tolist(), b.tolist())]
     assert tok.agree(a, b).tolist() == want and 0.1 < np.mean(want) < 0.95
