@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A key is frequent from this many rows, or from one part in KEYS of all: so KEYS keys at most are.
-ROWS, KEYS = 10_000, 20_000
+ROWS, KEYS = 100_000, 20_000
 
 
 def hub_join(rows: DataFrame, per_key: DataFrame, on: list[str], n: str, total: int, how: str = "inner") -> DataFrame:

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from siftworks.llm import ann, cover_tree, graph, queries, urls
+from siftworks.llm import ann, cover_tree, graph, joins, queries, urls
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +41,21 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_frequent_keys_are_joined_whole(spark, monkeypatch):
+    rows = [("hot", i) for i in range(40)] + [(f"k{i % 7}", i) for i in range(20)] + [(None, 1), ("none", 2)]
+    df = spark.createDataFrame(rows, "k string, i long")
+    per_key = df.where("k is not null and k <> 'none'").groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("m"))
+    for least in (3, 20, 1000):
+        monkeypatch.setattr(joins, "ROWS", least)
+        for how in ("inner", "left"):
+            want = df.join(per_key.drop("n"), "k", how)
+            got = joins.hub_join(df, per_key, ["k"], "n", len(rows), how)
+            assert sorted(map(str, got.select("k", "i", "m").collect())) == sorted(map(str, want.select("k", "i", "m").collect()))
+    monkeypatch.setattr(joins, "ROWS", 5)
+    star = spark.createDataFrame([(0, i) for i in range(1, 60)] + [(100, i) for i in range(101, 110)] + [(30, 100)], "a long, b long")
+    assert {r.component for r in graph.components(star).collect()} == {0}
+
+
 @pytest.mark.parametrize("settings", [{}, {"block_rows": 60, "cells": 20}])
 def test_cover_tree(points, settings):
     p = points.toPandas()
