@@ -241,6 +241,30 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield own.row(at)
 
 
+def _pack(batches: Iterator[pa.RecordBatch], most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Counts (shard, i, c) of each shard as few rows of bytes."""
+    held: list[pa.RecordBatch] = []
+
+    def out() -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        held.clear()
+        shard, i, c = (t.column(k).to_numpy() for k in ("shard", "i", "c"))
+        order = np.argsort(shard, kind="stable")
+        shard, i, c = shard[order], i[order].astype(np.int32), c[order].astype(np.int64)
+        first = np.flatnonzero(np.diff(shard, prepend=-1))
+        ends = np.append(first[1:], len(shard))
+        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(shard[first]), cut(i), cut(c)], ["shard", "at", "c"])
+
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+        if sum(x.num_rows for x in held) >= most:
+            yield out()
+    if held:
+        yield out()
+
+
 def _parts(b: dict, i: int, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, slice]]:
     """Of a shard's row: codes, hashes, ends and the texts of each part."""
     at = 0
@@ -299,13 +323,13 @@ def score(docs: DataFrame, test: Column | None = None) -> DataFrame:
         """A shard's counts come first, then its texts."""
         model, n = Model(rows, bias, w, squares), np.zeros(0, np.int64)
         for batch in (run for b in batches for run in _runs(b)):
-            counted = batch.filter(pc.is_valid(batch.column("i")))
-            if counted.num_rows:
-                at = counted.column("i").to_numpy()
+            counted = batch.filter(pc.is_valid(batch.column("at")))
+            for at, c in zip(counted.column("at").to_pylist(), counted.column("c").to_pylist()):
+                at = np.frombuffer(at, np.int32)
                 if at.max() >= len(n):
                     n = np.concatenate([n, np.zeros(max(int(at.max()) + 1 - len(n), len(n)), np.int64)])
-                n[at] = counted.column("c").to_numpy()
-            texts = batch.filter(pc.is_null(batch.column("i")))
+                n[at] = np.frombuffer(c, np.int64)
+            texts = batch.filter(pc.is_null(batch.column("at")))
             for k in range(texts.num_rows):
                 b = texts.slice(k, 1).to_pydict()
                 hashes = np.frombuffer(b["hashes"][0], np.uint64)
@@ -322,8 +346,9 @@ def score(docs: DataFrame, test: Column | None = None) -> DataFrame:
 
     fields = ["doc_ids", "held", "ends", "codes", "hashes"]
     none = [F.lit(None).cast(dict(coded.dtypes)[c]).alias(c) for c in fields]
-    both = counts.select("shard", "i", "c", *none).union(coded.select("shard", F.lit(None).cast("int"), F.lit(None).cast("long"), *fields))
-    both = both.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", F.asc_nulls_last("i"))
+    packed = counts.select("shard", "i", "c").mapInArrow(tidied(_pack), "shard long, at binary, c binary")
+    both = packed.select("shard", "at", "c", *none).union(coded.select("shard", F.lit(None).cast("binary"), F.lit(None).cast("binary"), *fields))
+    both = both.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", F.col("at").isNull()).select("shard", "at", "c", *fields)
     scored = both.mapInArrow(tidied(judge), SCORES)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(all_tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
