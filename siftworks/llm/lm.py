@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .batches import slices, tidied
+from .batches import slices, tidied, tidy
 from .staging import stage
 
 LEVELS, BITS = 4, 3
@@ -35,9 +35,9 @@ WIDTH, CELLS = 1 << BITS, 1 << LEVELS * BITS
 FEATURES = ((0, 1, 2), *((0, 1) for _ in range(LEVELS - 1)))
 TABLES = [(level, k) for level in range(LEVELS) for k in FEATURES[level]]
 #: Rows of a feature's table are as many as a power of two that grows with the corpus, within these.
-LEAST_ROWS, MOST_ROWS = 1 << 12, 1 << 15
+LEAST_ROWS, MOST_ROWS = 1 << 12, 1 << 14
 #: Bytes of text for each row, in a shard, and in a part of it that is worked on together.
-ROW_BYTES, SHARD, PART = 64, 48_000_000, 4_000_000
+ROW_BYTES, SHARD, PART = 64, 24_000_000, 4_000_000
 #: Averaging rounds, tokens in a gradient step, its rate.
 ROUNDS, STEP, RATE = 2, 8192, 0.4
 END = xxhash.xxh64_intdigest(b"\n")
@@ -235,6 +235,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if at is not None:
                 yield own.row(at)
             at, own = key, _Shard()
+            tidy()
         for b in slices(run, PART):
             own.add(b)
     if at is not None:
@@ -343,6 +344,7 @@ def score(docs: DataFrame, test: Column | None = None) -> DataFrame:
                     cols = [pa.array(b["doc_ids"][0][own], pa.int64()), pa.array(b["held"][0][own], pa.bool_()), pa.array(size), pa.array(sums(known[code])), pa.array(sums(up[code]) - size * below), pa.array(sums(model.log_probs(h, _starts(ends)) + share[code]))]
                     yield pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in SCORES.split(", ")])
                 n = np.zeros(0, np.int64)
+                tidy()
 
     fields = ["doc_ids", "held", "ends", "codes", "hashes"]
     none = [F.lit(None).cast(dict(coded.dtypes)[c]).alias(c) for c in fields]
