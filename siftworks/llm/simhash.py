@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .batches import by_rows, tidied
 from .graph import components
 from .joins import hub_join
-from .staging import stage
+from .staging import drop_staged, stage
 
 #: Shingles hashed at a time; bounds the memory of one very long document.
 CHUNK = 1 << 15
@@ -22,6 +22,8 @@ CHUNK = 1 << 15
 SAMPLE, COMMON = 50_000, 200_000
 #: Rounds in which codes are compared with one code of each bucket, before all are.
 TURNS = 1
+#: Bits of a set that bound how far two sets differ, and the most cells in which wanted documents are marked.
+BITS, CELLS = 1024, 1 << 26
 
 
 def _signed(x: int) -> int:
@@ -154,14 +156,36 @@ def _common(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return w[order], n[order]
 
 
+def _bits(s: np.ndarray) -> np.ndarray:
+    """BITS bits of a set as longs: how many of its hashes fall on each, odd or even.
+
+    A hash that only one of two sets holds turns one bit, so their bits differ in no more places than the sets in hashes.
+    """
+    odd = np.bincount(s & (BITS - 1), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _cells(ids: DataFrame) -> tuple[Column, np.ndarray]:
+    """A doc_id's cell, and which cells have one of ``ids`` (doc_id): of 16 cells an id, at most CELLS (8 MB)."""
+    n = min(CELLS, 1 << max(10, (16 * ids.count()).bit_length()))
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(n))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {n}L) % 64 as int))")
+    got = ids.groupBy(F.expr(f"cast(pmod(xxhash64(doc_id), {n}L) div 64 as long)").alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    words = np.zeros(n // 64, np.int64)
+    words[got.column("at").to_numpy()] = got.column("bits").to_numpy()
+    return cell, words
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, block: int = 256) -> DataFrame:
     """(doc_id, component_id): groups of documents whose shingle sets have a Jaccard index of at least ``similarity``.
 
     Exact but for 64-bit shingle hashes: component_id is the smallest doc_id that can be
-    reached over such pairs. Documents of the same shingle set are one code. Each set is
+    reached over such pairs. Documents of the same shingle set are one code.
+
+    Each set is
     ordered, rare shingles first; two sets that are alike share one of the first
     n - ceil(similarity * n) + 1, and the first one they share leaves enough behind it in
-    both. So codes meet at these shingles. First each code is compared with one code
+    both. So codes meet at these shingles. In TURNS turns each code is compared with one code
     of each of its buckets, which brings groups of near copies together at about their own
     size; then all members of a bucket that are not yet connected are compared, in squares of
     ``block`` by ``block`` codes. Only links that the exact Jaccard index confirms count, and no
@@ -187,56 +211,68 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
             got = [shingle_set(t, shingle) for t in b.column(1).to_pylist()]
             k = np.frombuffer(b"".join(map(key, got)), np.int64).reshape(-1, 2)
             n, p = pa.array([len(s) for s in got], pa.int64()), pa.array([rare(s) for s in got], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), n, p], ["doc_id", "id", "more", "n", "p"])
-
-    seen = stage(kept.mapInArrow(tidied(scan), "doc_id long, id long, more long, n long, p array<long>"), "shingles")
-    codes = stage(seen.where("doc_id is not null").groupBy("id", "more").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "codes")
-    places = seen.where("doc_id is not null").groupBy("id").agg(F.first("n").alias("n"), F.first("p").alias("p")).select("id", "n", F.posexplode("p").alias("i", "w"))
-    buckets = places.groupBy("w").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("c")).where("least <> most").select("w", "c")
-    members = stage(hub_join(places, buckets, ["w"], "c", seen.agg(F.sum(F.size("p"))).first()[0] or 0), "members")
-    n_members = members.count()
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in by_rows(batches):
-            got = [shingle_set(t, shingle) for t in b.column(1).to_pylist()]
-            k = np.frombuffer(b"".join(map(key, got)), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(k[:, 0].copy()), pa.array(got, pa.list_(pa.int64()))], ["id", "s"])
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in by_rows(batches):
-            ok = []
-            for x, y in zip(b.column(2), b.column(3)):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(both >= similarity * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct(), "pairs")
-        reps = stage(codes.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id").select(F.col("rep").alias("doc_id")).distinct(), "ids")
-        of = kept.join(reps, "doc_id").select("doc_id", "text").mapInArrow(tidied(sets), "id long, s array<long>").dropDuplicates(["id"])
+            bits = pa.array([_bits(s) for s in got], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), n, bits, p], ["doc_id", "id", "more", "n", "bits", "p"])
+
+    seen = stage(kept.mapInArrow(tidied(scan), "doc_id long, id long, more long, n long, bits array<long>, p array<long>"), "shingles")
+    own = seen.where("doc_id is not null")
+    codes = stage(own.groupBy("id", "more").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("bits").alias("bits")), "codes")
+    n_seen, n_places = seen.count(), seen.agg(F.sum(F.size("p"))).first()[0] or 0
+
+    def sets(cells: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in by_rows(batches):
+                cell = b.column(2).to_numpy()
+                b = b.filter(pa.array(cells[cell >> 6] >> (cell & 63) & 1 == 1))
+                got = [shingle_set(t, shingle) for t in b.column(1).to_pylist()]
+                k = np.frombuffer(b"".join(map(key, got)), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(k[:, 0].copy()), pa.array(got, pa.list_(pa.int64()))], ["doc_id", "id", "s"])
+
+        return run
+
+    def confirmed(found: DataFrame) -> DataFrame:
+        """The pairs (a, b) of ``found`` that are alike: first by sizes and bits, then by their whole sets."""
+        pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+        side = lambda k: codes.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
+        turned = sum((F.bit_count(F.col("bitsa")[i].bitwiseXOR(F.col("bitsb")[i])) for i in range(BITS // 64)), F.lit(0))
+        able = (turned <= (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-6) & (F.least("na", "nb") + 1e-9 >= F.greatest("na", "nb") * similarity)
+        pairs = stage(pairs.join(side("a"), "a").join(side("b"), "b").where(able).select("a", "b"), "pairs")
+        ids = stage(codes.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id").select(F.col("rep").alias("doc_id")).distinct(), "ids")
+        cell, cells = _cells(ids)
+        of = kept.where("doc_id is not null").select("doc_id", "text", cell.alias("cell")).mapInArrow(tidied(sets(cells)), "doc_id long, id long, s array<long>")
+        of = stage(of.join(ids, "doc_id").select("id", "s").dropDuplicates(["id"]), "sets")
         both = pairs.join(of.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(of.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-        return stage(both.select("a", "b", "sa", "sb").mapInArrow(tidied(verify), "a long, b long"), "alike")
-
-    alike = F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) + 1e-9 >= (F.col("x.n") + F.col("y.n")) * (similarity / (1 + similarity))
-    size = F.least("x.n", "y.n") + 1e-9 >= F.greatest("x.n", "y.n") * similarity
-    code, links, groups = F.struct("id", "n", "i", "part"), None, None
+        shared = both.select("a", "b", (F.size("sa") + F.size("sb")).alias("n"), F.size(F.array_intersect("sa", "sb")).alias("both"))
+        alike = stage(shared.where(F.col("both") >= (F.col("n") - F.col("both")) * F.lit(similarity)).select("a", "b"), "alike")
+        drop_staged(pairs, ids, of)
+        return alike
+
+    alike = groups = None
+    places = own.groupBy("id").agg(F.first("n").alias("n"), F.first("p").alias("p")).select("id", "n", F.posexplode("p").alias("i", "w"))
+    buckets = places.groupBy("w").agg(F.count("*").alias("c")).where("c > 1")
+    members = stage(hub_join(places, buckets, ["w"], "c", n_places), "members")
+    n_members, of_doc = members.count(), stage(seen.select("doc_id", "id", "more"), "codes_of")
+    drop_staged(seen)
+    size = F.least("n", "y.n") + 1e-9 >= F.greatest("n", "y.n") * similarity
     for turn in range(TURNS + 1):
-        now = members.withColumn("part", F.col("id")) if groups is None else members.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
-        open_ = now.groupBy("w").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), *(F.col(c) for c in ("id", "n", "i", "part")))).alias("y"), F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("c")).where("p <> q").select("w", "y", "c")
-        now = hub_join(now, open_.withColumn("rows", F.col("c")), ["w"], "rows", n_members).select("w", "c", code.alias("x"), "y")
+        now = members.withColumn("part", F.col("id")) if groups is None else members.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
+        one = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "part")).alias("y")
+        open_ = now.groupBy("w").agg(one, F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("c")).where("p <> q").select("w", "y", "c")
+        now = hub_join(now, open_.withColumn("rows", F.col("c")), ["w"], "rows", n_members)
         if turn < TURNS:
-            pairs = now.where(size)
+            found = now.where(size).where("part <> y.part").select(F.col("id").alias("a"), F.col("y.id").alias("b"))
         else:
             last = F.ceil(F.col("c") / block).cast("int") - 1
-            own = now.select("w", "x", F.pmod(F.xxhash64("x.id", F.lit("block")), last + 1).cast("int").alias("own"), last.alias("last"))
-            low = own.select("w", "x", F.col("own").alias("lo"), F.explode(F.sequence("own", "last")).alias("hi"))
-            high = own.select("w", F.col("x").alias("y"), F.explode(F.sequence(F.lit(0), "own")).alias("lo"), F.col("own").alias("hi"))
-            pairs = low.join(high, ["w", "lo", "hi"]).where(alike & ((F.col("lo") < F.col("hi")) | (F.col("x.id") < F.col("y.id"))))
-        found = confirmed(pairs.where("x.part <> y.part"))
-        links = found if links is None else links.union(found)
-        groups = components(links)
+            own_ = now.select("w", F.struct("id", "n", "i", "part").alias("x"), F.pmod(F.xxhash64("id", F.lit("block")), last + 1).cast("int").alias("own"), last.alias("last"))
+            low = own_.select("w", "x", F.col("own").alias("lo"), F.explode(F.sequence("own", "last")).alias("hi"))
+            high = own_.select("w", F.col("x").alias("y"), F.explode(F.sequence(F.lit(0), "own")).alias("lo"), F.col("own").alias("hi"))
+            rest = F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) + 1e-9 >= (F.col("x.n") + F.col("y.n")) * (similarity / (1 + similarity))
+            pairs = low.join(high, ["w", "lo", "hi"]).where(rest & ((F.col("lo") < F.col("hi")) | (F.col("x.id") < F.col("y.id"))))
+            found = pairs.where("x.part <> y.part").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+        alike = confirmed(found) if alike is None else alike.union(confirmed(found))
+        groups = components(alike)
+    drop_staged(members)
     of_code = stage(codes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("id", "more", "rep", "rows", F.coalesce("component", "id").alias("part")), "parts")
     least = of_code.groupBy("part").agg(F.min("rep").alias("component_id"))
     of_code = of_code.join(least, "part").select("id", "more", "rows", "component_id")
-    return hub_join(seen.select("doc_id", "id", "more"), of_code, ["id", "more"], "rows", seen.count(), "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return hub_join(of_doc, of_code, ["id", "more"], "rows", n_seen, "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))

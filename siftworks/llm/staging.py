@@ -1,5 +1,5 @@
 """Intermediate tables of this subpackage, staged as the rest of the library stages its own."""
 
-from ..staging import shared_dir, stage
+from ..staging import drop_staged, shared_dir, stage
 
-__all__ = ["shared_dir", "stage"]
+__all__ = ["drop_staged", "shared_dir", "stage"]

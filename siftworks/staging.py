@@ -50,3 +50,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(*frames: DataFrame) -> None:
+    """Deletes tables that ``stage`` returned and nothing reads any more, and lets Spark remove shuffle files no longer in use.
+
+    Spark removes these when the driver collects garbage, which a large heap puts off while disks fill.
+    """
+    jvm, conf = frames[0].sparkSession._jvm, frames[0].sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for df in frames for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    jvm.System.gc()

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import random
 import re
 import zlib
@@ -13,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from siftworks.llm import lm, packing, pieces, pii, quality, simhash, substring
+from siftworks.llm.staging import shared_dir
 
 
 def texts(df):
@@ -142,6 +144,24 @@ def test_near_copies_at_the_edge_are_all_found(spark):
     assert {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()} == want
 
 
+def test_intermediate_tables_go(spark, odd):
+    """The search leaves only what its result reads."""
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    out = simhash.similar_groups(odd)
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before}
+    assert out.count() == odd.count() and not left & {"shingles", "members", "pairs", "ids", "sets"}
+
+
+def test_marked_cells_hold_all_ids(spark):
+    ids = [-5, 0, 3, 2**62, *range(1000, 9000, 3)]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    cell, cells = simhash._cells(df)
+    marked = lambda f: [cells[c >> 6] >> (c & 63) & 1 for (c,) in f.select(cell).collect()]
+    assert all(marked(df)) and sum(marked(spark.range(10_000, 20_000).toDF("doc_id"))) < 2000
+    assert not simhash._cells(df.limit(0))[1].any()
+
+
 def test_masks_use_all_dimensions():
     masks = simhash.covering_masks(6)
     assert len(set(masks)) == 127 and min(m.bit_count() for m in masks) > 16
