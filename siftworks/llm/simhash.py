@@ -165,6 +165,64 @@ def _bits(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _near_in_squares(similarity: float, nearest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs (a, b) that can be alike by sizes, places and bits, of rows sorted by (w, lo, hi), within these.
+
+    A square's codes are compared here and pairs are not written out before; where lo < hi only those of different sides.
+    ``nearest``: for each part in a square only its pair with the fewest differing bits for its sizes.
+    """
+    least, gap = similarity / (1 + similarity), (1 - similarity) / (1 + similarity)
+
+    def compare(t: pa.Table) -> pa.RecordBatch:
+        w, lo, hi, side, id_, n, i, part = (t.column(c).to_numpy() for c in ("w", "lo", "hi", "side", "id", "n", "i", "part"))
+        bits = t.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, BITS // 64)  # of signed numbers, numpy counts the bits of the absolute value
+        square = np.cumsum(np.r_[0, (w[1:] != w[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
+        found, far, at, d = [np.zeros((2, 0), np.int64)], [np.zeros(0)], np.arange(len(w)), 0
+        while len(at):
+            d += 1
+            at = at[at + d < len(w)]
+            at = at[square[at + d] == square[at]]
+            y = at + d
+            both, rest = n[at] + n[y], np.minimum(n[at] - i[at], n[y] - i[y])
+            ok = (part[at] != part[y]) & ((side[at] != side[y]) | (lo[at] == hi[at])) & (rest + 1e-9 >= both * least)
+            ok &= np.minimum(n[at], n[y]) + 1e-9 >= np.maximum(n[at], n[y]) * similarity
+            x, y, both = at[ok], y[ok], both[ok]
+            turned = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+            ok = turned <= both * gap + 1e-6
+            found.append(np.stack([x[ok], y[ok]]))
+            far.append(turned[ok] / both[ok])
+        (x, y), far = np.concatenate(found, axis=1), np.concatenate(far)
+        if nearest:
+            ends, pair = np.r_[x, y], np.tile(np.arange(len(x)), 2)
+            order = np.lexsort((np.tile(far, 2), part[ends], square[ends]))
+            ends = ends[order]
+            first = np.r_[True, (part[ends[1:]] != part[ends[:-1]]) | (square[ends[1:]] != square[ends[:-1]])][: len(ends)]
+            chosen = np.unique(pair[order][first])
+            x, y = x[chosen], y[chosen]
+        got = np.unique(np.stack([np.minimum(id_[x], id_[y]), np.maximum(id_[x], id_[y])], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the last square may go on in the next batch
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = [b.column(c).to_numpy() for c in ("w", "lo", "hi")]
+            starts = np.flatnonzero(np.logical_or.reduce([k != k[-1] for k in keys]))
+            at = int(starts[-1]) + 1 if len(starts) else 0
+            if not at and held and any(h.column(c)[-1] != b.column(c)[0] for h in held[-1:] for c in ("w", "lo", "hi")):
+                yield compare(pa.Table.from_batches(held))
+                held = []
+            if at:
+                yield compare(pa.Table.from_batches([*held, b.slice(0, at)]))
+                held = []
+            held.append(b.slice(at))
+        if held:
+            yield compare(pa.Table.from_batches(held))
+
+    return run
+
+
 def _cells(ids: DataFrame) -> tuple[Column, np.ndarray]:
     """A doc_id's cell, and which cells have one of ``ids`` (doc_id): of 16 cells an id, at most CELLS (8 MB)."""
     n = min(CELLS, 1 << max(10, (16 * ids.count()).bit_length()))
@@ -176,7 +234,7 @@ def _cells(ids: DataFrame) -> tuple[Column, np.ndarray]:
     return cell, words
 
 
-def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, block: int = 256) -> DataFrame:
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, block: int = 4096) -> DataFrame:
     """(doc_id, component_id): groups of documents whose shingle sets have a Jaccard index of at least ``similarity``.
 
     Exact but for 64-bit shingle hashes: component_id is the smallest doc_id that can be
@@ -188,7 +246,8 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
     both. So codes meet at these shingles. In TURNS turns each code is compared with one code
     of each of its buckets, which brings groups of near copies together at about their own
     size; then all members of a bucket that are not yet connected are compared, in squares of
-    ``block`` by ``block`` codes. Only links that the exact Jaccard index confirms count, and no
+    ``block`` by ``block`` codes: once for the nearest pair of each part that is connected so far,
+    once for all pairs that are left. Only links that the exact Jaccard index confirms count, and no
     code leaves before all its candidates are compared or connected with it.
 
     Null and wordless texts are copies of each other. Rows without a doc_id have a null component_id.
@@ -254,7 +313,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
     n_members, of_doc = members.count(), stage(seen.select("doc_id", "id", "more"), "codes_of")
     drop_staged(seen)
     size = F.least("n", "y.n") + 1e-9 >= F.greatest("n", "y.n") * similarity
-    for turn in range(TURNS + 1):
+    for turn in range(TURNS + 2):
         now = members.withColumn("part", F.col("id")) if groups is None else members.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
         one = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "part")).alias("y")
         open_ = now.groupBy("w").agg(one, F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("c")).where("p <> q").select("w", "y", "c")
@@ -263,12 +322,10 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
             found = now.where(size).where("part <> y.part").select(F.col("id").alias("a"), F.col("y.id").alias("b"))
         else:
             last = F.ceil(F.col("c") / block).cast("int") - 1
-            own_ = now.select("w", F.struct("id", "n", "i", "part").alias("x"), F.pmod(F.xxhash64("id", F.lit("block")), last + 1).cast("int").alias("own"), last.alias("last"))
-            low = own_.select("w", "x", F.col("own").alias("lo"), F.explode(F.sequence("own", "last")).alias("hi"))
-            high = own_.select("w", F.col("x").alias("y"), F.explode(F.sequence(F.lit(0), "own")).alias("lo"), F.col("own").alias("hi"))
-            rest = F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) + 1e-9 >= (F.col("x.n") + F.col("y.n")) * (similarity / (1 + similarity))
-            pairs = low.join(high, ["w", "lo", "hi"]).where(rest & ((F.col("lo") < F.col("hi")) | (F.col("x.id") < F.col("y.id"))))
-            found = pairs.where("x.part <> y.part").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+            now = now.drop("y").join(codes.select("id", "bits"), "id").withColumn("last", last).withColumn("side", F.pmod(F.xxhash64("id", F.lit("block")), F.col("last") + 1).cast("int"))
+            now = now.withColumn("other", F.explode(F.sequence(F.lit(0), "last"))).withColumns({"lo": F.least("side", "other"), "hi": F.greatest("side", "other")})
+            now = now.select("w", "lo", "hi", "side", "id", "n", "i", "part", "bits").repartition("w", "lo", "hi").sortWithinPartitions("w", "lo", "hi")
+            found = now.mapInArrow(tidied(_near_in_squares(similarity, turn == TURNS)), "a long, b long")
         alike = confirmed(found) if alike is None else alike.union(confirmed(found))
         groups = components(alike)
     drop_staged(members)

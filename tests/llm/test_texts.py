@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -144,6 +145,42 @@ def test_near_copies_at_the_edge_are_all_found(spark):
     assert {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()} == want
 
 
+def test_many_texts_that_are_nearly_alike_make_few_pairs(spark, monkeypatch):
+    """Variants of one text, most of them below an index of 0.8 to each other, are compared but not written out as pairs."""
+    rnd, made = random.Random(9), []
+    words = [f"w{j}" for j in range(200)]
+    d = {i: " ".join(f"v{j}x{rnd.randint(0, 2)}" if j % 10 == 5 else w for j, w in enumerate(words)) for i in range(240)}
+    for i in range(240, 260):
+        d[i] = d[i - 240] + " z"
+
+    def counted(df, name, stage=simhash.stage):
+        out = stage(df, name)
+        made.extend([out.count()] if name == "pairs" else [])
+        return out
+
+    monkeypatch.setattr(simhash, "stage", counted)
+    df = spark.createDataFrame(list(d.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()} == alike_groups(d)
+    assert max(made) <= 2 * len(d)
+
+
+def test_squares_in_batches_of_any_size():
+    """Squares that go on over several batches, end with one or fill one give the pairs of plain comparison."""
+    rnd, rows = random.Random(10), []
+    sets = [np.unique(np.array([rnd.randint(-(2**63), 2**63 - 1) for _ in range(60)])) for _ in range(12)]
+    sets += [np.unique(np.r_[s[2:], rnd.randint(-(2**63), 2**63 - 1)]) for s in sets]
+    for w in range(9):
+        for k in rnd.sample(range(24), rnd.randint(2, 24)):
+            rows.append((w, 0, w % 2, rnd.randint(0, w % 2), k, len(sets[k]), rnd.randint(0, 3), k % 5 if w == 8 else k, simhash._bits(sets[k]).tolist()))
+    names = ["w", "lo", "hi", "side", "id", "n", "i", "part", "bits"]
+    want = {(min(x[4], y[4]), max(x[4], y[4])) for x in rows for y in rows if x[:3] == y[:3] and x[7] != y[7] and (x[1] == x[2] or x[3] != y[3]) and abs(x[4] - y[4]) == 12}
+    for size in (1, 7, 24, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int64()) if n == "bits" else pa.int64()) for n, c in zip(names, zip(*rows[i : i + size]))], names) for i in range(0, len(rows), size)]
+        got = {(a, b) for out in simhash._near_in_squares(0.8, False)(iter(batches)) for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist())}
+        one = {(a, b) for out in simhash._near_in_squares(0.8, True)(iter(batches)) for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist())}
+        assert got == want and want and one <= want and {i for p in one for i in p} == {i for p in want for i in p}
+
+
 def test_intermediate_tables_go(spark, odd):
     """The search leaves only what its result reads."""
     folder = shared_dir(spark).removeprefix("file:")
