@@ -240,7 +240,9 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
     Exact but for 64-bit shingle hashes: component_id is the smallest doc_id that can be
     reached over such pairs. Documents of the same shingle set are one code.
 
-    Each set is
+    The first candidates come from SimHash, as in ``simhash_groups``: codes of equal fingerprints,
+    and the links that covering masks find within 2 bits. An index of 0.8 is some 10 bits, so
+    they are not all. For the rest each set is
     ordered, rare shingles first; two sets that are alike share one of the first
     n - ceil(similarity * n) + 1, and the first one they share leaves enough behind it in
     both. So codes meet at these shingles. In TURNS turns each code is compared with one code
@@ -267,16 +269,17 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_rows(batches):
-            got = [shingle_set(t, shingle) for t in b.column(1).to_pylist()]
+            texts = b.column(1).to_pylist()
+            got = [shingle_set(t, shingle) for t in texts]
             k = np.frombuffer(b"".join(map(key, got)), np.int64).reshape(-1, 2)
             n, p = pa.array([len(s) for s in got], pa.int64()), pa.array([rare(s) for s in got], pa.list_(pa.int64()))
-            bits = pa.array([_bits(s) for s in got], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), n, bits, p], ["doc_id", "id", "more", "n", "bits", "p"])
+            fp, bits = pa.array([_signed(fingerprint(t)) for t in texts], pa.int64()), pa.array([_bits(s) for s in got], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), n, fp, bits, p], ["doc_id", "id", "more", "n", "fp", "bits", "p"])
 
-    seen = stage(kept.mapInArrow(tidied(scan), "doc_id long, id long, more long, n long, bits array<long>, p array<long>"), "shingles")
+    seen = stage(kept.mapInArrow(tidied(scan), "doc_id long, id long, more long, n long, fp long, bits array<long>, p array<long>"), "shingles")
     own = seen.where("doc_id is not null")
-    codes = stage(own.groupBy("id", "more").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.first("n").alias("n"), F.first("bits").alias("bits")), "codes")
-    n_seen, n_places = seen.count(), seen.agg(F.sum(F.size("p"))).first()[0] or 0
+    codes = stage(own.groupBy("id", "more").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("bits").alias("bits")), "codes")
+    n_seen, n_codes, n_places = seen.count(), codes.count(), seen.agg(F.sum(F.size("p"))).first()[0] or 0
 
     def sets(cells: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +309,11 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
         drop_staged(pairs, ids, of)
         return alike
 
-    alike = groups = None
+    of_fp = codes.groupBy("fp").agg(F.min("id").alias("b"), F.count("*").alias("c"))
+    same = hub_join(codes.select("fp", F.col("id").alias("a")), of_fp, ["fp"], "c", n_codes).select("a", "b")
+    alike = confirmed(same.union(links(of_fp.select("fp", F.col("b").alias("rep")))))
+    groups = components(alike)
+
     places = own.groupBy("id").agg(F.first("n").alias("n"), F.first("p").alias("p")).select("id", "n", F.posexplode("p").alias("i", "w"))
     buckets = places.groupBy("w").agg(F.count("*").alias("c")).where("c > 1")
     members = stage(hub_join(places, buckets, ["w"], "c", n_places), "members")
@@ -314,7 +321,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
     drop_staged(seen)
     size = F.least("n", "y.n") + 1e-9 >= F.greatest("n", "y.n") * similarity
     for turn in range(TURNS + 2):
-        now = members.withColumn("part", F.col("id")) if groups is None else members.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
+        now = members.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
         one = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "part")).alias("y")
         open_ = now.groupBy("w").agg(one, F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("c")).where("p <> q").select("w", "y", "c")
         now = hub_join(now, open_.withColumn("rows", F.col("c")), ["w"], "rows", n_members)
@@ -326,7 +333,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
             now = now.withColumn("other", F.explode(F.sequence(F.lit(0), "last"))).withColumns({"lo": F.least("side", "other"), "hi": F.greatest("side", "other")})
             now = now.select("w", "lo", "hi", "side", "id", "n", "i", "part", "bits").repartition("w", "lo", "hi").sortWithinPartitions("w", "lo", "hi")
             found = now.mapInArrow(tidied(_near_in_squares(similarity, turn == TURNS)), "a long, b long")
-        alike = confirmed(found) if alike is None else alike.union(confirmed(found))
+        alike = alike.union(confirmed(found))
         groups = components(alike)
     drop_staged(members)
     of_code = stage(codes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("id", "more", "rep", "rows", F.coalesce("component", "id").alias("part")), "parts")

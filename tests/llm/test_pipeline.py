@@ -1,8 +1,11 @@
 """The pipeline's stages against brute force, each on its own input."""
 
+import random
+
 import numpy as np
 import public_tokenizers
-from test_texts import groups, plain_repeats, plain_spans, texts
+import xxhash
+from test_texts import alike_groups, groups, plain_fingerprint, plain_repeats, plain_spans, texts
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -58,6 +61,36 @@ def test_stages_take_odd_and_empty_tables(spark, odd, nothing, sf):
             assert {r.doc_id for r in rows} == {i for i, _ in own} | {None}
 
 
+def test_near_copies_are_found_by_fingerprints_first(spark, monkeypatch):
+    """The stage searches the SimHash of every text, and the first links it confirms join all alike texts within 2 bits."""
+    rnd, codes, alike = random.Random(12), [], []
+    d = {}
+    for k in range(25):
+        words = [f"k{k}w{j}" for j in range(400)]
+        for i in range(4):
+            d[4 * k + i] = " ".join([*words[: rnd.randint(385, 400)], f"x{k}y{i}"])
+    fp = {i: plain_fingerprint(t) for i, t in d.items()}
+
+    def links(df, *more, search=simhash.links):
+        codes.extend(r.fp & (1 << 64) - 1 for r in df.collect())
+        return search(df, *more)
+
+    def staged(df, name, stage=simhash.stage):
+        out = stage(df, name)
+        alike.extend([out.collect()] if name == "alike" else [])
+        return out
+
+    monkeypatch.setattr(simhash, "links", links)
+    monkeypatch.setattr(simhash, "stage", staged)
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in d.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()}
+    assert sorted(codes) == sorted(set(fp.values()))
+    key = {i: np.frombuffer(xxhash.xxh3_128_digest(simhash.shingle_set(t, 5).tobytes()), np.int64)[0] for i, t in d.items()}
+    first, near = groups(key.values(), [(r.a, r.b) for r in alike[0]]), [(a, b) for a in d for b in d if a < b and (fp[a] ^ fp[b]).bit_count() <= 2]
+    assert near and all(first[key[a]] == first[key[b]] for a, b in near)
+    assert kept == set(alike_groups(d).values())
+
+
 def test_sequences_can_be_built_from_the_result(spark, odd, sf):
     """The last stage's rows alone give each document's ids, and sequences without gaps or overlaps."""
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
