@@ -2,7 +2,10 @@
 
 A window is WINDOW consecutive words. Of the GRAM-word prefixes that start in it, the one with
 the smallest hash (the leftmost of equals) is its anchor, so equal windows have equal anchors at
-the same distance from their start. Suffixes that start at anchors are partitioned by that prefix:
+the same distance from their start. Where a few words repeat at once, as in a pair said hundreds of
+times, nearly each repetition is an anchor of the same windows; such anchors of a document, at most
+WINDOW words apart, are one occurrence from the first to the last of them, and so are the words that
+its windows cover. Suffixes that start at anchors are partitioned by that prefix:
 
 * prefixes that occur in one document only are dropped after a grouped count of hashes;
 * prefixes with up to GROUP occurrences go, many at a time, into memory-sized sorted suffix
@@ -74,6 +77,26 @@ def _anchors(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h, at + np.arange(len(at))
 
 
+def _occurrences(w: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The GRAM-word hashes; for each run of anchors of the same windows the first's and the last's position, and the first's first and last window."""
+    h, at = _anchors(w)
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    last = np.append(first[1:], len(at)) - 1
+    pos = at[first]
+    upto, alone = pos.copy(), np.ones(len(pos), bool)
+    _, which, often = np.unique(h[pos], return_inverse=True, return_counts=True)
+    heads: dict[bytes, int] = {}
+    for k in np.flatnonzero(often[which] > 1).tolist():
+        p, i, j = int(pos[k]), int(first[k]), int(last[k])
+        own = xxhash.xxh3_128_digest(b"%d:%d:" % (p - i, j - i) + w[i : j + WINDOW].tobytes())
+        head = heads.get(own)
+        if head is not None and p - upto[head] <= WINDOW:
+            upto[head], alone[k] = p, False
+        else:
+            heads[own] = k
+    return h, pos[alone], upto[alone], first[alone], last[alone]
+
+
 _SEEN = "doc_id long, rid long, n_words long, key_a long, key_b long, anchors array<long>, times array<int>"
 
 
@@ -86,8 +109,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n.append(len(words))
             keys.append(xxhash.xxh3_128_digest(b" ".join(words)))
             if len(words) >= WINDOW:
-                h, at = _anchors(_hashes(words))
-                own, often = np.unique(h[at[np.flatnonzero(np.diff(at, prepend=-1))]], return_counts=True)
+                h, pos, *_ = _occurrences(_hashes(words))
+                own, often = np.unique(h[pos], return_counts=True)
             else:
                 own = often = np.zeros(0, np.uint64)
             anchors.append(own.view(np.int64))
@@ -98,21 +121,18 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), *lists], [x.split()[0] for x in _SEEN.split(", ")])
 
 
-_FOUND = "whole boolean, key_a long, key_b long, doc_id long, rid long, pos int, lo int, hi int, left binary, right binary"
+_FOUND = "whole boolean, key_a long, key_b long, doc_id long, rid long, pos int, upto int, lo int, hi int, left binary, right binary"
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows for the trees: an anchor's position, its windows' distances and the words around it; of frequent prefixes (``whole``) under longer ones."""
+    """Rows for the trees: an anchor's position, that of the last of its run, its windows' distances and the words around it; of frequent prefixes (``whole``) under longer ones."""
     names = [x.split()[0] for x in _FOUND.split(", ")]
-    types = [pa.bool_(), *[pa.int64()] * 4, *[pa.int32()] * 3, pa.binary(), pa.binary()]
+    types = [pa.bool_(), *[pa.int64()] * 4, *[pa.int32()] * 4, pa.binary(), pa.binary()]
     for b in by_rows(batches):
         rows: list[tuple] = []
         for doc, rid, text, few, many in zip(*(c.to_pylist() for c in b.columns)):
             w = _hashes(split(text))
-            h, at = _anchors(w)
-            first = np.flatnonzero(np.diff(at, prepend=-1))
-            last = np.append(first[1:], len(at)) - 1
-            pos = at[first]
+            h, pos, upto, first, last = _occurrences(w)
             hs = h[pos].view(np.int64)
             cold = np.isin(hs, np.array(few or [], np.int64))
             flat = w.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :WIDE]
@@ -120,7 +140,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(w)
             for k in np.flatnonzero(cold).tolist():
                 p, i, j = int(pos[k]), int(first[k]), int(last[k])
-                rows.append((False, int(hs[k]), 0, doc, rid, p, p - j, p - i, back[n - p : n - i].tobytes(), flat[p + GRAM : j + WINDOW].tobytes()))
+                rows.append((False, int(hs[k]), 0, doc, rid, p, int(upto[k]), p - j, p - i, back[n - p : n - i].tobytes(), flat[p + GRAM : j + WINDOW].tobytes()))
             hot = np.isin(hs, np.array(many or [], np.int64)) & ~cold
             for k in np.flatnonzero(hot).tolist():  # longer prefixes: to the right for windows that have HALF words there, to the left for the others
                 p, i, j = int(pos[k]), int(first[k]), int(last[k])
@@ -129,7 +149,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for side, low, high, words in ((b"r", lo, min(hi, HALF), right), (b"l", max(lo, HALF + 1), hi, left)):
                     if low <= high:
                         longer = xxhash.xxh3_64_intdigest(side + h[p].tobytes() + words[: HALF * WIDE])
-                        rows.append((True, longer - (longer >> 63 << 64), 0, doc, rid, p, low, high, left, right))
+                        rows.append((True, longer - (longer >> 63 << 64), 0, doc, rid, p, int(upto[k]), low, high, left, right))
             if len(rows) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names)
                 rows = []
@@ -186,13 +206,13 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def solve(t: pa.Table) -> pa.RecordBatch:
         t = t.combine_chunks()
         c = {k: t.column(k).combine_chunks() if isinstance(t.column(k), pa.ChunkedArray) else t.column(k) for k in t.column_names}
-        num = {k: c[k].to_numpy() for k in ("key_a", "doc_id", "rid", "pos", "lo", "hi")}
+        num = {k: c[k].to_numpy() for k in ("key_a", "doc_id", "rid", "pos", "upto", "lo", "hi")}
         rep = repeated_windows(num["key_a"], num["doc_id"], num["lo"], num["hi"], _matrix(c["left"]), _matrix(c["right"]))
         edge = np.diff(np.pad(rep.astype(np.int8), ((0, 0), (1, 1))), axis=1)
         row, near = np.nonzero(edge == 1)
         far = np.nonzero(edge == -1)[1] - 1
-        p = num["pos"][row].astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(num["doc_id"][row]), pa.array(num["rid"][row]), pa.array(p - far), pa.array(p - near + WINDOW)], ["doc_id", "rid", "start", "end"])
+        p, q = num["pos"][row].astype(np.int64), num["upto"][row].astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(num["doc_id"][row]), pa.array(num["rid"][row]), pa.array(p - far), pa.array(q - near + WINDOW)], ["doc_id", "rid", "start", "end"])
 
     held: list[pa.RecordBatch] = []
     for b in batches:
@@ -211,14 +231,14 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _deepen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each window around an anchor under a hash of all its words."""
+    """Each window around an anchor, with what it covers in the anchor's run, under a hash of all its words."""
     names = ["key_a", "key_b", "doc_id", "rid", "start", "end"]
     for b in batches:
         rows: list[tuple] = []
-        for key, doc, rid, p, lo, hi, left, right in zip(*(c.to_pylist() for c in b.columns)):
+        for key, doc, rid, p, q, lo, hi, left, right in zip(*(c.to_pylist() for c in b.columns)):
             for o in range(lo, hi + 1):
                 own = xxhash.xxh3_128_digest(b"%d:%d:" % (key, o) + left[: o * WIDE] + right[: (SPAN - o) * WIDE])
-                rows.append((int.from_bytes(own[:8], "little", signed=True), int.from_bytes(own[8:], "little", signed=True), doc, rid, p - o, p - o + WINDOW))
+                rows.append((int.from_bytes(own[:8], "little", signed=True), int.from_bytes(own[8:], "little", signed=True), doc, rid, p - o, q - o + WINDOW))
         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in (zip(*rows) if rows else [[]] * 6)], names)
 
 
@@ -242,7 +262,7 @@ def spans(docs: DataFrame) -> DataFrame:
     hits = hub_join(firsts, again.select("h", (F.col("n") <= GROUP).alias("few"), "rows"), ["h"], "rows", n_anchors).groupBy("doc_id", "rid").agg(F.collect_set(F.when(F.col("few"), F.col("h"))).alias("few"), F.collect_set(F.when(~F.col("few"), F.col("h"))).alias("many"))
     found = kept.join(hits, ["doc_id", "rid"]).select("doc_id", "rid", "text", "few", "many").mapInArrow(tidied(_gather), _FOUND)
     found = stage(found, "suffixes")
-    cols = ["key_a", "doc_id", "rid", "pos", "lo", "hi", "left", "right"]
+    cols = ["key_a", "doc_id", "rid", "pos", "upto", "lo", "hi", "left", "right"]
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     large = stage(found.where("whole").groupBy("key_a").count().where(F.col("count") > GROUP).select("key_a"), "large")
     some = found.join(F.broadcast(large), "key_a", "left_anti").select(*cols)

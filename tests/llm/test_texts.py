@@ -438,6 +438,31 @@ def test_repeats(odd, docs, nothing, group, monkeypatch):
     assert substring.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("group", [20_000, 2])
+def test_words_that_repeat_at_once_take_no_row_for_each_time(spark, group, monkeypatch):
+    """Rows for the trees do not grow with how often documents say a few words in succession, and what is covered stays exact."""
+    made = []
+
+    def staged(df, name, stage=substring.stage):
+        out = stage(df, name)
+        made.extend([out.count()] if name == "suffixes" else [])
+        return out
+
+    monkeypatch.setattr(substring, "GROUP", group)
+    monkeypatch.setattr(substring, "stage", staged)
+    for times in (1, 3):
+        rnd, d = random.Random(5), {}
+        for size in (1, 2, 7, 45):
+            said = [rnd.choice("ab") + f"{size}" for _ in range(size)]
+            for _ in range(6):
+                own = [f"w{len(d)}x{j}" for j in range(120)]
+                d[len(d)] = " ".join([*own[:60], *said * (400 // size) * times, *own[60:]])
+        want = plain_repeats(d)
+        df = spark.createDataFrame(list(d.items()), "doc_id long, text string")
+        assert {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in substring.remove_repeats(df).collect()} == want
+    assert made[0] == made[1] < 24 * 100
+
+
 def unigram_model(rnd, fallback):
     from sentencepiece import sentencepiece_model_pb2 as pb
 
